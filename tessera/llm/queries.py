@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .near_dedup import op2_near_dedup
 from .substring_dedup import op1_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup)}
 ORACLE_SQL: dict[str, str] = {}
