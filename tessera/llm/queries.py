@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .near_dedup import op2_near_dedup
+from .pieces import op10_pieces
 from .substring_dedup import op1_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup, op10_pieces)}
 ORACLE_SQL: dict[str, str] = {}
