@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,3 +42,28 @@ def forget(df: DataFrame) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def even_labels(n: int, each: int) -> list[int]:
+    """``each`` labels for every one of ``n`` hash partitions, so that groups by label fill partitions alike.
+
+    Labels are integers picked by the partition that Spark's hash (Murmur3, seed 42) sends them to.
+    """
+    found: list[list[int]] = [[] for _ in range(n)]
+    short, at, step = n, 0, max(1024, 4 * n * each)
+    while short and at < 64 * step:
+        x = np.arange(at, at + step, dtype=np.uint32)
+        k = x * np.uint32(0xCC9E2D51)
+        k = (k << np.uint32(15) | k >> np.uint32(17)) * np.uint32(0x1B873593)
+        h = np.uint32(42) ^ k
+        h = (h << np.uint32(13) | h >> np.uint32(19)) * np.uint32(5) + np.uint32(0xE6546B64)
+        h ^= np.uint32(4)
+        h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+        h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+        h ^= h >> np.uint32(16)
+        for label, part in enumerate((h.astype(np.int32).astype(np.int64) % n).tolist(), at):
+            if len(found[part]) < each:
+                found[part].append(label)
+                short -= len(found[part]) == each
+        at += step
+    return [x for part in found for x in part]

@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import partitions
+from .scratch import even_labels, partitions
 from .words import U64, run_hashes, slices, window_starts, word_hashes
 
-BLOCKS_EACH = 8
+#: Blocks and buckets that each partition holds; answers are at most blocks * buckets rows.
+BLOCKS_EACH, BUCKETS_EACH = 2, 1
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -47,7 +48,9 @@ def hashes_of(column: pa.Array, window: int):
         yield row, first, starts, run_hashes(words, starts, window), rows
 
 
-def _send(window: int, buckets: int):
+def _send(window: int, labels: list[int]):
+    buckets, names = len(labels), np.array(labels, np.int32)
+
     def run(batches):
         held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
@@ -66,7 +69,7 @@ def _send(window: int, buckets: int):
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             own = [x for x in np.split(values, cuts) if len(x)]
             yield pa.RecordBatch.from_arrays([
-                pa.array(bucket[np.concatenate([[0], cuts])].astype(np.int32) if own else [], pa.int32()),
+                pa.array(names[bucket[np.concatenate([[0], cuts])].astype(np.int64)] if own else [], pa.int32()),
                 pa.array([block] * len(own), pa.int32()),
                 pa.array(map(packed, own), pa.binary()),
             ], ["bucket", "block", "hashes"])
@@ -128,12 +131,13 @@ def substring_dedup(docs: DataFrame, text_col: str = "text", carry: tuple[str, .
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    blocks, buckets = n * BLOCKS_EACH, n * 2
+    blocks = even_labels(n, BLOCKS_EACH)
     names = [f"carry{i}" for i in range(len(carry))]
     rows = docs.select(*(docs[c].alias(a) for c, a in zip(carry, names, strict=True)), docs[text_col].cast("string").alias("text"))
     row = F.xxhash64(F.monotonically_increasing_id(), F.length("text"))
-    dealt = rows.withColumn("block", F.pmod(row, F.lit(blocks)).cast("int")).repartition(n, "block")
-    sent = dealt.mapInArrow(_send(window, buckets), "bucket int, block int, hashes binary")
+    names_of = F.split(F.lit(",".join(map(str, blocks))), ",").cast("array<int>")
+    dealt = rows.withColumn("block", F.get(names_of, F.pmod(row, F.lit(len(blocks))).cast("int"))).repartition(n, "block")
+    sent = dealt.mapInArrow(_send(window, even_labels(n, BUCKETS_EACH)), "bucket int, block int, hashes binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer, "block int, hashes binary")
     schema = ", ".join([*(f"{a} {docs.schema[c].dataType.simpleString()}" for c, a in zip(carry, names, strict=True)), "n_words long, n_removed long, kept_text string"])
     out = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_remove(window, names), schema)
