@@ -68,23 +68,32 @@ def slices(column: pa.Array, most: int = SLICE_BYTES):
         row = stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold_ascii_case: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, index of each row's first word and the total at the end)."""
-    if not len(data):
-        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of each word: the runs of bytes that are not in ``between``, within one row."""
+    inside = ~between[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < len(data)]
     first[heads] = inside[heads]
     last = inside.copy()
     last[:-1] &= ~inside[1:] | first[1:]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold_ascii_case: bool, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, index of each row's first word and the total at the end)."""
+    if not len(data):
+        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+    begin, end = word_bounds(data, offsets, between)
+    return span_hashes(data, begin, end, fold_ascii_case), np.searchsorted(begin, offsets)
+
+
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, fold_ascii_case: bool) -> np.ndarray:
+    """Hash of the bytes from each begin to its end."""
     up, down = BYTES.get(len(data) + 1)
     sums = np.zeros(len(data) + 1, U64)
     np.cumsum(byte_values(fold_ascii_case)[data] * up[:-1], out=sums[1:])
-    hashes = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(U64))
-    return hashes, np.searchsorted(begin, offsets)
+    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(U64))
 
 
 def run_hashes(words: np.ndarray, begin: np.ndarray, length: np.ndarray | int) -> np.ndarray:
