@@ -81,7 +81,7 @@ class Pieces:
         for length, rows in by_length.items():
             if length > LONG or not self.bytes:
                 for i in rows:
-                    out[i] = np.array(self.agenda(cuts[i]), np.int32)
+                    out[i] = self.agenda(cuts[i])
                 continue
             points = np.frombuffer("".join(cuts[i] for i in rows).encode("utf-32-le", "surrogatepass"), np.uint32)
             for c in np.unique(points[self.of_char[points] < 0]):

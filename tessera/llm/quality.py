@@ -5,7 +5,7 @@
    2**labellers rows for each label, whatever the corpus) estimates how often each labeller fires on bad and on good
    documents. Where people's labels are given, those documents' posteriors are fixed to them, which anchors the rest.
 3. The posteriors label a bounded sample (SAMPLE documents of each side of each question: labelled ones first, then
-   those of smallest hash), on which a logistic scorer over hashed words, word beginnings and bucketed shape features
+   those of smallest hash; where there are labels, good examples are labelled ones), on which a logistic scorer over hashed words, word beginnings and bucketed shape features
    is trained; its bias is then set to the corpus's share of bad documents.
 4. The scorer rates every document.
 """
@@ -27,11 +27,15 @@ INSULTS = (
     ("crap", "disgusting", "filth", "loser", "scum", "shit", "stupid", "suck", "trash", "worthless"),
 )
 BITS = 20
-STARTS = (4, 6)
+STARTS = (4, 5, 6, 7)
 DIMENSIONS = 1 << BITS
 SAMPLE = 4000
-LEAST_DOCUMENTS = 5
-THRESHOLD = 0.5
+LEAST_DEVIATIONS = 4.0
+#: Documents under this posterior may be examples of good ones.
+SURELY_GOOD = 0.01
+LEAST_LABELLED = 20
+#: Letting toxic text through costs more than losing a clean one.
+THRESHOLDS = {"junk": 0.5, "toxic": 0.2}
 JUNK = ("symbols", "bangs", "capitals", "pipes", "one_word", "stutter", "few_letters", "few_types", "odd_length", "no_words")
 TOXIC = ("insults_a", "insults_b", "insults_c", "two_insults", "dense_insults")
 BETWEEN = np.ones(256, bool)
@@ -130,17 +134,17 @@ def label_model(patterns: np.ndarray, label: np.ndarray, counts: np.ndarray, lab
 
 
 def word_starts(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the first k bytes of tokens that have as many, and the index of each row's first."""
+    """Hashes of the first k bytes of longer tokens, and the index of each row's first."""
     if not len(data):
         return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
     begin, end = word_bounds(data, offsets, BETWEEN)
-    begin = begin[end - begin >= k]
+    begin = begin[end - begin > k]
     return mix(span_hashes(data, begin, begin + k, True) + seeds(1, k)[0]), np.searchsorted(begin, offsets)
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashed features of all rows, index of each row's first): two places for each distinct token, beginning of a
-    token of 4 or 6 bytes, and shape bucket."""
+    longer token and shape bucket."""
     share, tokens, start = shapes(data, offsets)
     n = len(start) - 1
     bucket = np.minimum((share * [20, 20, 20, 20, 20, 20, 20, 20, 1]).astype(np.int64), 40)
@@ -167,27 +171,36 @@ def _features(batches):
             row += len(at) - 1
 
 
-def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 150, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression by Adagrad over all rows each round; features of few documents have no weight."""
+def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression by Adagrad over all rows each round.
+
+    Only features whose shares of bad and of good documents differ by LEAST_DEVIATIONS or more have a weight, and each
+    is scaled by its smoothed log ratio, so what few documents share can't be learnt by heart.
+    """
     weight, bias = np.zeros(2 * DIMENSIONS, np.float32), 0.0
-    if not len(x):
-        return weight, -10.0
     flat = np.concatenate(x)
-    at = np.cumsum([0, *map(len, x)])
-    rare = np.bincount(flat, minlength=2 * DIMENSIONS) < LEAST_DOCUMENTS
-    used, flat = np.unique(flat, return_inverse=True)
-    fixed = rare[used]
+    row = np.repeat(np.arange(len(x)), [len(v) for v in x])
+    n_bad, n_good = target.sum(), (1 - target).sum()
+    on_bad, on_good = np.bincount(flat, target[row], 2 * DIMENSIONS), np.bincount(flat, 1 - target[row], 2 * DIMENSIONS)
+    share = np.clip((on_bad + on_good) / len(x), 1e-9, 1 - 1e-9)
+    deviations = (on_bad / n_bad - on_good / n_good) / np.sqrt(share * (1 - share) * (1 / n_bad + 1 / n_good))
+    used = np.flatnonzero(np.abs(deviations) >= LEAST_DEVIATIONS)
+    scale = np.log((on_bad[used] + 1) / (n_bad + 2)) - np.log((on_good[used] + 1) / (n_good + 2))
+    own = np.full(2 * DIMENSIONS, -1, np.int64)
+    own[used] = np.arange(len(used))
+    has = own[flat] >= 0
+    row, flat = row[has], own[flat[has]]
+    value = scale[flat]
     w, seen, seen_bias = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(w[flat], at[:-1]) + bias, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat] * value, len(x)) + bias, -30, 30)))
         error = (p - target) / len(x)
-        slope = np.bincount(flat, np.repeat(error, np.diff(at)), len(used)) + ridge * w
-        slope[fixed] = 0
+        slope = np.bincount(flat, error[row] * value, len(used)) + ridge * w
         seen += slope**2
         w -= 0.1 * slope / np.sqrt(seen)
         seen_bias += error.sum() ** 2
         bias -= 0.1 * error.sum() / np.sqrt(seen_bias)
-    weight[used] = w
+    weight[used] = w * scale
     return weight, float(bias)
 
 
@@ -216,16 +229,21 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         label = np.array([r[name] for r in counted], np.int64)
         bad, on_bad, on_good = label_model(part, label, count, n)
         posterior = {(int(m), int(k)): float(p) for m, k, p in zip(part, label, bad, strict=True)}
-        share = float(np.clip((count @ bad) / max(count.sum(), 1), 1e-4, 0.9999)) if len(count) else 0.5
         model[name] = {"posterior": posterior, "on_bad": on_bad, "on_good": on_good, "weight": np.zeros(2 * DIMENSIONS, np.float32), "bias": -10.0}
         own = F.shiftright("votes", low).bitwiseAND((1 << n) - 1)
-        is_bad = F.lit(False)
+        least = max(SURELY_GOOD, min(posterior.values(), default=0))
+        # Labellers are blind to some bad documents, so silence is no proof: with enough labels only those are good.
+        judged = min(count[label == k].sum() for k in (0, 1)) >= LEAST_LABELLED
+        counts = count * (label >= 0) if judged else count
+        share = float(np.clip(counts @ bad / max(counts.sum(), 1), 1e-4, 0.9999))
+        side = F.lit("unsure")
         for k in (-1, 0, 1):
-            those = sorted({m for (m, j), p in posterior.items() if j == k and p >= 0.5})
-            is_bad |= (F.col(name) == k) & own.isin(those)
-        sided = seen.select("key", own.alias("own"), F.col(name).alias("label"), is_bad.alias("bad")).dropDuplicates(["key"])
+            for word, fits in (("bad", lambda p: p >= 0.5), ("good", lambda p, least=least: p <= least)):
+                those = sorted({m for (m, j), p in posterior.items() if j == k and fits(p) and not (judged and word == "good" and k < 0)})
+                side = F.when((F.col(name) == k) & own.isin(those), word).otherwise(side)
+        sided = seen.select("key", own.alias("own"), F.col(name).alias("label"), side.alias("side")).dropDuplicates(["key"])
         order = [F.col("label") < 0, F.xxhash64("key")]
-        picked = sided.where("bad").orderBy(*order).limit(sample).union(sided.where("not bad").orderBy(*order).limit(sample))
+        picked = sided.where("side = 'bad'").orderBy(*order).limit(sample).union(sided.where("side = 'good'").orderBy(*order).limit(sample))
         picked = stored(picked.select("key", "own", "label"), "picked")  # at most 2 * sample rows
         got = rows.join(F.broadcast(picked), "key").dropDuplicates(["key"]).select("own", "label", "text").mapInArrow(_features, "own int, label int, x binary").collect()
         got.sort(key=lambda r: bytes(r["x"]))
@@ -258,7 +276,7 @@ def _score(shared):
 
 
 def rate(docs: DataFrame, model: dict, carry: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """The ``carry`` columns, ``junk`` and ``toxic`` (0 to 1) and ``kept``: both are under THRESHOLD.
+    """The ``carry`` columns, ``junk`` and ``toxic`` (0 to 1) and ``kept``: both are under THRESHOLDS.
 
     A null or empty text has no words and is rated by its shape alone. Repeated rows get equal rates; ids may be null
     or tied. Only ``carry`` is passed on, under its own names. An empty table gives an empty table.
@@ -268,7 +286,7 @@ def rate(docs: DataFrame, model: dict, carry: tuple[str, ...] = ("doc_id",), tex
     rows = docs.select(*(F.col(c).alias(a) for c, a in zip(carry, names, strict=True)), F.col(text_col).cast("string").alias("text"))
     schema = ", ".join([*(f"{a} {docs.schema[c].dataType.simpleString()}" for c, a in zip(carry, names, strict=True)), "junk double, toxic double"])
     out = rows.mapInArrow(_score(shared), schema)
-    return out.select(*(F.col(a).alias(c) for c, a in zip(carry, names, strict=True)), "junk", "toxic", ((F.col("junk") < THRESHOLD) & (F.col("toxic") < THRESHOLD)).alias("kept"))
+    return out.select(*(F.col(a).alias(c) for c, a in zip(carry, names, strict=True)), "junk", "toxic", ((F.col("junk") < THRESHOLDS["junk"]) & (F.col("toxic") < THRESHOLDS["toxic"])).alias("kept"))
 
 
 def classify(docs: DataFrame, labels: DataFrame | None = None, carry: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
