@@ -145,7 +145,7 @@ def put(uri: str, blob: bytes) -> None:
     context = TaskContext.get()
     own = f"{path}.try{context.taskAttemptId() if context else 0}"
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(own) as out:
+    with store.open_output_stream(own, compression=None) as out:
         out.write(blob)
     store.move(own, path)
 
@@ -204,7 +204,7 @@ def _read(with_ids: bool):
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 store, name = opened(path)
-                with store.open_input_stream(name) as f:
+                with store.open_input_stream(name, compression=None) as f:
                     doc_ids, lengths, ids = read_shard(f.read())
                 at = np.concatenate([[0], np.cumsum(lengths)])
                 cuts = [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
