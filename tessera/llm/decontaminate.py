@@ -65,7 +65,8 @@ def _equal_runs(words: Column, item: Column, shift: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per training row: ``doc_id``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``contaminated``.
+    """One row per training row: ``doc_id``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``contaminated``
+    and ``hits``, the places of the hit words from 0.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are folded. A window is 13 consecutive item words, or
     a whole item of 1 to 12; words inside any occurrence are hit. Contaminated means at least one hit word and at least
@@ -97,12 +98,21 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     met = hits.join(side(item_words), ["i1", "i2"]).join(texts, ["k1", "k2"])
     spans = met.select("k1", "k2", "ids", _equal_runs(F.col("words"), F.col("item_words"), F.col("shift")).alias("runs")).where(F.size("runs") > 0)
     by_text = spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items"))
-    by_text = by_text.select("k1", "k2", "items", F.size(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["begin"], r["end"]))))).cast("long").alias("n_hit"))
+    by_text = by_text.select("k1", "k2", "items", F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["begin"], r["end"]))))).alias("hits"))
 
     counted = rows.select(F.col(id_col), *keep, *_keys(F.col("the_text")), F.regexp_count("the_text", F.lit(WORD_EITHER_CASE)).cast("long").alias("n_words"))
     out = counted.join(by_text, ["k1", "k2"], "left")
-    n_hit = F.coalesce("n_hit", F.lit(0))
-    return out.select(F.col(id_col), *keep, "n_words", n_hit.cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+    n_hit = F.coalesce(F.size("hits"), F.lit(0))
+    return out.select(F.col(id_col), *keep, "n_words", n_hit.cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), F.coalesce("hits", F.array().cast("array<int>")).alias("hits"))
+
+
+def without_hits(text: Column, hits: Column) -> Column:
+    """The text without the hit words and what stands before each of them."""
+    word = WORD_EITHER_CASE.removesuffix("+")
+    apart = word.replace("[^", "[", 1)
+    pieces = F.regexp_extract_all(text, F.lit(f"{apart}*{word}+"), F.lit(0))
+    left = F.filter(pieces, lambda x, i: ~F.array_contains(hits, i))
+    return F.when(F.size(hits) == 0, text).otherwise(F.concat(F.array_join(left, ""), F.regexp_extract(text, f"({apart}*)$", 1)))
 
 
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:

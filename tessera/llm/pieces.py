@@ -208,7 +208,7 @@ def _some(column: pa.Array, most: int = 1 << 20):
         yield held
 
 
-def _codec(path: str, digests: bool):
+def _codec(path: str, digests: bool, carried: list[str]):
     def run(batches):
         pieces = loaded(path)
         for batch in batches:
@@ -217,30 +217,32 @@ def _codec(path: str, digests: bool):
                 known = pieces.learn(texts)
                 ids = pieces.joined(known)
                 decoded = [pieces.library.decode(x) for x in ids]
-                head = [batch.column(0).slice(row, len(texts)), pa.array(map(len, ids), pa.int64())]
+                head = [*(batch.column(c).slice(row, len(texts)) for c in carried), pa.array(map(len, ids), pa.int64())]
                 row += len(texts)
                 if digests:
                     sums = [hashlib.sha256(" ".join([*[d for _, d in x if d], str(pieces.end)]).encode()).hexdigest() for x in known]
                     back = [hashlib.sha256(x.encode()).hexdigest() for x in decoded]
-                    yield pa.RecordBatch.from_arrays([*head, pa.array(sums), pa.array(back)], ["carry", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    yield pa.RecordBatch.from_arrays([*head, pa.array(sums), pa.array(back)], [*carried, "n_tokens", "ids_sha256", "decoded_sha256"])
                 else:
-                    yield pa.RecordBatch.from_arrays([*head, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)], ["carry", "n_tokens", "ids", "decoded"])
+                    yield pa.RecordBatch.from_arrays([*head, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)], [*carried, "n_tokens", "ids", "decoded"])
 
     return run
 
 
-def piece_codec(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
-    """One row per input row: ``doc_id``, ``n_tokens``, ``ids`` with the end id, ``decoded`` text.
+def piece_codec(docs: DataFrame, model_path: str, carry: tuple[str, ...] = ("doc_id",), text_col: str = "text", digests: bool = False) -> DataFrame:
+    """One row per input row: the ``carry`` columns, ``n_tokens``, ``ids`` with the end id, ``decoded`` text.
 
     With ``digests`` the last two are ``ids_sha256`` and ``decoded_sha256``, made where the ids are, so that ids
     do not cross to the JVM. A null or empty text has the end id only and decodes to "". Repeated rows are
-    encoded each; ids of documents are only carried and may be null or tied; other columns are ignored. Long
-    texts are encoded whole. An empty table gives an empty table. There is no shuffle.
+    encoded each; ids of documents are only carried and may be null or tied; columns not named in ``carry`` are
+    left out. Long texts are encoded whole. An empty table gives an empty table. There is no shuffle.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    names = [f"carry{i}" for i in range(len(carry))]
+    kinds = [f"{a} {docs.schema[c].dataType.simpleString()}" for c, a in zip(carry, names, strict=True)]
     rest = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
-    rows = docs.select(F.col(id_col).alias("carry"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_codec(model_path, digests), f"carry {kind}, n_tokens long, {rest}").withColumnRenamed("carry", id_col)
+    rows = docs.select(*(F.col(c).alias(a) for c, a in zip(carry, names, strict=True)), F.col(text_col).cast("string").alias("text"))
+    out = rows.mapInArrow(_codec(model_path, digests, names), ", ".join([*kinds, "n_tokens long", rest]))
+    return out.select(*(F.col(a).alias(c) for c, a in zip(carry, names, strict=True)), *out.columns[len(names) :])
 
 
 def op10_pieces(spark, sf_dir: str) -> DataFrame:
