@@ -1,7 +1,454 @@
-"""All queries over the driver tables and the SQL that each is held against."""
+"""All queries over the driver tables, each with the SQL that it is held against."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import arrays, scalars
+from .operators import gates, jobs, reports, retry, similarity, zones
+from .sources.files import excluded
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = None
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# --- prompts, jobs, units, batches -----------------------------------------------------------------------------
+
+LINES = """SELECT lang, doc_id, line_no, trim(line) AS prompt FROM (SELECT lang, doc_id, unnest(string_split(text, chr(10))) AS line,
+  generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents) WHERE length(trim(line)) > 0 AND NOT starts_with(trim(line), '#')"""
+NORM = r"trim(regexp_replace(lower(prompt), '\s+', ' ', 'g'))"
+FIRST_LINES = f"SELECT lang, doc_id, line_no, prompt FROM (SELECT *, row_number() OVER (PARTITION BY lang, {NORM} ORDER BY doc_id, line_no) AS n FROM ({LINES})) WHERE n = 1"
+
+
+def _lines(spark, d):
+    return jobs.prompt_lines(table(spark, d, "documents"), ["lang", "doc_id"])
+
+
+@query(LINES)
+def prompt_scan(spark, d):
+    return _lines(spark, d)
+
+
+@query(FIRST_LINES)
+def ordered_dedup(spark, d):
+    return jobs.ordered_dedup(_lines(spark, d), "lang", ["doc_id", "line_no"])
+
+
+@query(f"""SELECT lang, seed, prompt, lang || '-' || substr(sha1(lang || ':' || prompt || ':' || seed), 1, 8) AS id FROM
+  (SELECT *, 1000 + row_number() OVER (PARTITION BY lang ORDER BY doc_id, line_no) AS seed FROM ({FIRST_LINES}))""")
+def job_ids(spark, d):
+    lines = jobs.ordered_dedup(_lines(spark, d), "lang", ["doc_id", "line_no"])
+    return jobs.with_job_ids(lines, "lang", ["doc_id", "line_no"], 1001).select("lang", "seed", "prompt", "id")
+
+
+@query("""SELECT p_brand, p_partkey, n FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part) WHERE n <= 20""")
+def limit_per_category(spark, d):
+    first = jobs.limited(table(spark, d, "part").select("p_brand", "p_partkey"), "p_brand", ["p_partkey"], 20)
+    return jobs.numbered(first, "p_brand", ["p_partkey"], "n")
+
+
+@query("SELECT p_partkey, i - 1 AS target_pos, [p_size + 20, p_size + 32, p_size + 44][i] AS target FROM part, range(1, 4) AS r(i)")
+def fan_out_targets(spark, d):
+    size = F.col("p_size")
+    return jobs.fan_out_targets(table(spark, d, "part").select("p_partkey", F.array(size + 20, size + 32, size + 44).alias("targets")), "targets")
+
+
+@query("""SELECT p_partkey, v AS variant_index, CASE WHEN greatest(1, p_size % 5) > 1 THEN 'p' || p_partkey || '_v' || lpad(v::varchar, 2, '0') ELSE 'p' || p_partkey END AS unit
+  FROM (SELECT p_partkey, p_size, unnest(range(0, greatest(1, p_size % 5))) AS v FROM part)""")
+def fan_out_variants(spark, d):
+    units = jobs.fan_out_variants(table(spark, d, "part").select("p_partkey", (F.col("p_size") % 5).alias("variants")), "variants")
+    id_ = F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
+    return units.select("p_partkey", "variant_index", jobs.unit_name(id_, F.col("variant_index"), F.greatest(F.lit(1), "variants") > 1).alias("unit"))
+
+
+@query("""SELECT p_partkey, v AS variant_index FROM (SELECT p_partkey, unnest(range(0, greatest(1, p_size % 5))) AS v FROM part) u
+  WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = u.p_partkey AND l.l_linenumber = u.v)""")
+def skip_existing(spark, d):
+    units = jobs.fan_out_variants(table(spark, d, "part").select("p_partkey", (F.col("p_size") % 5).alias("variants")), "variants").drop("variants")
+    there = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_linenumber").alias("variant_index"))
+    return jobs.not_there(units, there, ["p_partkey", "variant_index"])
+
+
+@query("""WITH p AS (SELECT o_orderkey, o_orderpriority AS b, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS n FROM orders),
+  f AS (SELECT b, sum(c) OVER (ORDER BY first) - c AS before FROM (SELECT o_orderpriority AS b, min(o_orderkey) AS first, ceil(count(*) / 16.0) AS c FROM orders GROUP BY 1))
+  SELECT o_orderkey, CAST(before + n // 16 AS BIGINT) AS batch, n % 16 AS batch_position, CAST(before + n // 16 + 2001 AS BIGINT) AS batch_seed FROM p JOIN f USING (b)""")
+def batches(spark, d):
+    return jobs.batches(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), ["o_orderpriority"], ["o_orderkey"], 16).drop("o_orderpriority")
+
+
+@query("""SELECT c_custkey, coalesce(p.negative, 'none') AS negative, coalesce(p.duration, 2.0) AS duration FROM customer c
+  LEFT JOIN (VALUES ('BUILDING', 'wood', 1.5), ('MACHINERY', 'metal', 4.0)) AS p(segment, negative, duration) ON c_mktsegment = segment""")
+def profile_with_default(spark, d):
+    dim = F.broadcast(spark.createDataFrame([("BUILDING", "wood", 1.5), ("MACHINERY", "metal", 4.0)], "c_mktsegment string, negative string, duration double"))  # two rows
+    met = table(spark, d, "customer").select("c_custkey", "c_mktsegment").join(dim, "c_mktsegment", "left")
+    return met.select("c_custkey", F.coalesce("negative", F.lit("none")).alias("negative"), F.coalesce("duration", F.lit(2.0)).alias("duration"))
+
+
+# --- gates -----------------------------------------------------------------------------------------------------
+
+VERDICTS = r"""SELECT event_id, user_id, event_type, ts, value, k, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
+  CASE WHEN event_type = 'error' THEN 'read_failed:x' WHEN value < 60 THEN 'silent' WHEN k % 7 = 0 THEN 'off_band' WHEN value > 460 THEN 'clipped' END AS reason
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": *(-?\d+)', 1) AS INTEGER) AS k FROM events)"""
+
+
+def _verdicts(spark, d):
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    reason = gates.first_failure(("read_failed:x", F.col("event_type") == "error"), ("silent", F.col("value") < 60), ("off_band", F.col("k") % 7 == 0), ("clipped", F.col("value") > 460))
+    return e.select("event_id", "user_id", "event_type", "ts", "value", "k", F.to_date("ts").cast("string").alias("day"), reason.alias("reason"), reason.isNull().alias("passed"))
+
+
+@query(f"SELECT event_id, reason, CASE WHEN event_type <> 'error' THEN value END AS level, CASE WHEN event_type <> 'error' AND value >= 60 THEN k END AS band FROM ({VERDICTS})")
+def first_failure_cascade(spark, d):
+    v = _verdicts(spark, d)
+    unread, silent = F.col("event_type") == "error", F.col("value") < 60
+    return v.select("event_id", "reason", gates.until_failed(F.col("value"), unread).alias("level"), gates.until_failed(F.col("k"), unread, silent).alias("band"))
+
+
+@query(f"SELECT user_id, day, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY value DESC, event_id) AS n FROM ({VERDICTS}) WHERE reason IS NULL) WHERE n = 1")
+def best_of_group(spark, d):
+    return gates.best_of_group(_verdicts(spark, d), ["user_id", "day"], "value", "event_id", "passed").select("user_id", "day", "event_id", "value")
+
+
+@query(f"""SELECT user_id, day, sum(n) OVER (PARTITION BY user_id, day)::BIGINT AS attempts, reason, n FROM
+  (SELECT user_id, day, reason, count(*) AS n FROM ({VERDICTS}) v WHERE NOT EXISTS (SELECT 1 FROM ({VERDICTS}) w WHERE w.user_id = v.user_id AND w.day = v.day AND w.reason IS NULL) GROUP BY ALL)""")
+def failed_groups(spark, d):
+    out = gates.failed_groups(_verdicts(spark, d), ["user_id", "day"], "reason", "passed")
+    return out.select("user_id", "day", "attempts", F.explode("rejection_reasons").alias("reason", "n"))
+
+
+@query(f"SELECT reason, count(*) AS n FROM ({VERDICTS}) WHERE reason IS NOT NULL GROUP BY 1 ORDER BY n DESC, reason LIMIT 8")
+def top_reasons(spark, d):
+    return gates.reason_tally(_verdicts(spark, d), "reason", 8)
+
+
+@query(f"SELECT reason, sum(n)::BIGINT AS n FROM (SELECT reason, count(*) AS n FROM ({VERDICTS}) WHERE reason IS NOT NULL GROUP BY 1 UNION ALL SELECT event_type, count(*) FROM events GROUP BY 1) GROUP BY 1")
+def merged_tally(spark, d):
+    return gates.merged_tally(gates.reason_tally(_verdicts(spark, d), "reason"), table(spark, d, "events").groupBy(F.col("event_type").alias("reason")).agg(F.count("*").alias("n")))
+
+
+@query(f"""SELECT c_custkey AS user_id FROM customer LEFT JOIN (SELECT user_id, bool_or(reason IS NULL) AS ok, bool_or(coalesce(starts_with(reason, 'read_failed'), false)) AS unread FROM ({VERDICTS}) GROUP BY 1) v
+  ON c_custkey = user_id WHERE NOT coalesce(ok, false) OR coalesce(unread, false)""")
+def needs_gating(spark, d):
+    return gates.needs_gating(table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")), _verdicts(spark, d), ["user_id"], "passed", "reason")
+
+
+@query(f"SELECT event_type, count(*) FILTER (reason IS NULL) AS ok, count(*) FILTER (reason IS NOT NULL) AS rejected FROM ({VERDICTS}) GROUP BY 1")
+def routed_counts(spark, d):
+    return _verdicts(spark, d).groupBy("event_type").agg(F.count_if("passed").alias("ok"), F.count_if(~F.col("passed")).alias("rejected"))
+
+
+@query(f"SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, reason, count(*) AS n FROM ({VERDICTS}) WHERE reason IS NOT NULL GROUP BY ALL")
+def windowed_rejections(spark, d):
+    v = _verdicts(spark, d).where("reason is not null")
+    return v.groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("start"), "reason").agg(F.count("*").alias("n"))
+
+
+# --- retries ---------------------------------------------------------------------------------------------------
+
+JOBS = "SELECT o_orderkey AS id, o_orderpriority AS category, o_custkey AS prompt, o_orderstatus = 'F' AS won FROM orders"
+
+
+def _jobs(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("category"), F.col("o_custkey").alias("prompt"), "o_orderstatus")
+    return o.drop("o_orderstatus"), o.where("o_orderstatus = 'F'").select("id")
+
+
+@query(f"""WITH p AS (SELECT category, prompt, bool_or(won) AS won, count(*) AS n FROM ({JOBS}) GROUP BY 1, 2), c AS
+  (SELECT category, count(*) AS pool, count(*) FILTER (won) AS survivors, sum(CASE WHEN won THEN 0 ELSE n END)::BIGINT AS failed_jobs FROM p GROUP BY 1)
+  SELECT *, survivors < 700 AS short, CASE WHEN survivors < 700 THEN pool + 700 - survivors + 25 ELSE pool END AS top_up_to FROM c""")
+def retry_assessment(spark, d):
+    return retry.assess(*_jobs(spark, d), target=700)
+
+
+@query(f"SELECT id, category, prompt FROM ({JOBS}) j WHERE NOT EXISTS (SELECT 1 FROM ({JOBS}) w WHERE w.won AND w.category = j.category AND w.prompt = j.prompt)")
+def failed_rows(spark, d):
+    return retry.failed_rows(*_jobs(spark, d)).select("id", "category", "prompt")
+
+
+@query(f"SELECT DISTINCT category, prompt FROM ({JOBS}) WHERE won")
+def surviving_prompts(spark, d):
+    return retry.surviving_prompts(*_jobs(spark, d))
+
+
+@query("SELECT l_orderkey AS id, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def unseen_rows(spark, d):
+    return retry.new_rows(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), "l_linenumber"), _jobs(spark, d)[1])
+
+
+@query("""SELECT 'both' AS part, count(*) AS n FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
+  UNION ALL SELECT 'either', count(*) FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
+  UNION ALL SELECT 'left more', count(*) FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT ALL SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
+  UNION ALL SELECT 'right more', count(*) FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' EXCEPT ALL SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
+def listing_differences(spark, d):
+    o = table(spark, d, "orders")
+    a, b = (o.where(F.col("o_orderstatus") == s).select("o_custkey") for s in "FO")
+    parts = (("both", a.intersect(b)), ("either", a.union(b).distinct()), ("left more", a.exceptAll(b)), ("right more", b.exceptAll(a)))
+    out = None
+    for name, df in parts:
+        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# --- zones -----------------------------------------------------------------------------------------------------
+
+INSTRUMENTS = "SELECT p_brand, list_sort(list_distinct(list(CAST(30 + p_size % 60 AS INTEGER)))) AS sources FROM part WHERE p_size % 6 = 0 GROUP BY 1"
+ROOTS = f"SELECT p_brand, sources, unnest(list_sort(list_distinct(list_concat(sources, range(greatest(list_min(sources) - 12, 0), least(list_max(sources) + 12, 127) + 1, 5)::INTEGER[])))) AS root FROM ({INSTRUMENTS})"
+ZONES = f"""SELECT p_brand, zone, root, source, coalesce((last + root) // 2 + 1, 0) AS min_midi, coalesce((root + next) // 2, 127) AS max_midi, root - source AS shift FROM
+  (SELECT p_brand, root, row_number() OVER w - 1 AS zone, lag(root) OVER w AS last, lead(root) OVER w AS next,
+   (SELECT s FROM (SELECT unnest(sources) AS s) ORDER BY abs(s - root), s LIMIT 1) AS source FROM ({ROOTS}) WINDOW w AS (PARTITION BY p_brand ORDER BY root))"""
+
+
+def _zones(spark, d):
+    parts = table(spark, d, "part").where("p_size % 6 = 0").groupBy("p_brand").agg(F.array_sort(F.collect_set((30 + F.col("p_size") % 60).cast("int"))).alias("sources"))
+    return zones.zone_plan(parts, "p_brand", "sources", 12, 5)
+
+
+@query(ZONES)
+def zone_plan(spark, d):
+    return _zones(spark, d)
+
+
+@query(f"""SELECT p_brand, count(*) AS zones, sum(max_midi - min_midi + 1)::BIGINT AS notes, 0 AS faults FROM ({ZONES}) GROUP BY 1""")
+def zone_invariants(spark, d):
+    z = _zones(spark, d)
+    bad = zones.zone_faults(z, "p_brand").groupBy("p_brand").agg(F.count("*").alias("faults"))
+    sums = z.groupBy("p_brand").agg(F.count("*").alias("zones"), F.sum(F.col("max_midi") - F.col("min_midi") + 1).alias("notes"))
+    return sums.join(bad, "p_brand", "left").select("p_brand", "zones", "notes", F.coalesce("faults", F.lit(0)).cast("int").alias("faults"))
+
+
+@query(f"SELECT p_partkey, z.p_brand, note, root, source FROM (SELECT p_partkey, p_brand, p_partkey % 128 AS note FROM part) n JOIN ({ZONES}) z ON n.p_brand = z.p_brand AND note BETWEEN min_midi AND max_midi")
+def notes_to_zones(spark, d):
+    notes = table(spark, d, "part").select("p_partkey", "p_brand", (F.col("p_partkey") % 128).cast("int").alias("note"))
+    return zones.notes_to_zones(notes, _zones(spark, d), "p_brand", "note").select("p_partkey", "p_brand", "note", "root", "source")
+
+
+SPANS = "SELECT event_id, user_id, epoch(ts) AS b, epoch(ts) + value * 60 AS e FROM events"
+
+
+@query(f"""SELECT l.user_id, l.event_id AS "left", r.event_id AS "right", round(least(l.e, r.e) - greatest(l.b, r.b), 3) AS "overlap" FROM ({SPANS}) l JOIN ({SPANS}) r
+  ON l.user_id = r.user_id AND l.event_id < r.event_id WHERE least(l.e, r.e) - greatest(l.b, r.b) > 0.1 AND l.event_id % 12 <> r.event_id % 12""")
+def overlapping_notes(spark, d):
+    e = table(spark, d, "events")
+    begin = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    spans = e.select("event_id", "user_id", begin.alias("b"), (begin + F.col("value") * 60).alias("e"))
+    out = zones.overlapping(spans, ["user_id"], "event_id", "b", "e", 0.1, 14400.0, F.col("l.event_id") % 12 != F.col("r.event_id") % 12)
+    return out.withColumn("overlap", F.round("overlap", 3))
+
+
+@query("""SELECT user_id, root, event_id, value FROM (SELECT user_id, CAST(floor(value / 40) AS INTEGER) AS root, event_id, value, row_number() OVER (PARTITION BY user_id, floor(value / 40) ORDER BY value DESC, event_id) AS n FROM events) WHERE n = 1""")
+def one_source_per_root(spark, d):
+    e = table(spark, d, "events").select("user_id", F.floor(F.col("value") / 40).cast("int").alias("root"), "event_id", "value")
+    return gates.best_of_group(e.withColumn("passed", F.lit(True)), ["user_id", "root"], "value", "event_id", "passed").drop("passed")
+
+
+# --- reports ---------------------------------------------------------------------------------------------------
+
+PITCHED = f"SELECT event_type AS category, reason, value / 4 AS measured, CAST(40 + k AS INTEGER) AS target, (value / 4 - (40 + k)) * 100 AS cents FROM ({VERDICTS})"
+CLASS = "avg(CASE WHEN ((round_even(measured, 0)::INTEGER % 12) + 12) % 12 = target % 12 THEN 1.0 ELSE 0.0 END)"
+REPORT = f"""SELECT category, coalesce(winners, 0) AS winners, coalesce(pitched, 0) AS pitched, class_accuracy, exact_accuracy, median_cents, p90_cents, coalesce(failures, 0) AS failures,
+  coalesce(winners, 0) / (coalesce(winners, 0) + coalesce(failures, 0))::DOUBLE AS survival FROM
+  (SELECT category, count(*) AS winners, count(measured) AS pitched, {CLASS} AS class_accuracy, avg(CASE WHEN round_even(measured, 0)::INTEGER = target THEN 1.0 ELSE 0.0 END) AS exact_accuracy,
+   quantile_cont(abs(cents), 0.5) AS median_cents, quantile_cont(abs(cents), 0.9) AS p90_cents FROM ({PITCHED}) WHERE reason IS NULL GROUP BY 1)
+  FULL JOIN (SELECT category, count(*) AS failures FROM ({PITCHED}) WHERE reason IS NOT NULL GROUP BY 1) USING (category)"""
+ROUNDED = ("class_accuracy", "exact_accuracy", "median_cents", "p90_cents", "survival")
+
+
+def _pitched(spark, d):
+    v = _verdicts(spark, d).select(F.col("event_type").alias("category"), "reason", (F.col("value") / 4).alias("measured"), (40 + F.col("k")).alias("target"))
+    v = v.withColumn("cents", (F.col("measured") - F.col("target")) * 100)
+    return v.where("reason is null"), v.where("reason is not null")
+
+
+def _report(spark, d):
+    return reports.category_report(*_pitched(spark, d), "category", "measured", "target", "cents")
+
+
+@query(f"SELECT category, winners, pitched, failures, {', '.join(f'round({c}, 6) AS {c}' for c in ROUNDED)} FROM ({REPORT})")
+def pitch_report(spark, d):
+    return _report(spark, d).select("category", "winners", "pitched", "failures", *(F.round(c, 6).alias(c) for c in ROUNDED))
+
+
+@query(f"""SELECT sum(winners)::BIGINT AS winners, sum(failures)::BIGINT AS failures, round(sum(class_accuracy * pitched) / sum(pitched), 6) AS class_accuracy, round(sum(exact_accuracy * pitched) / sum(pitched), 6) AS exact_accuracy,
+  round(quantile_cont(median_cents, 0.5), 6) AS median_of_medians, round(quantile_cont(p90_cents, 0.9), 6) AS p90_of_p90s, round(sum(winners) / (sum(winners) + sum(failures)), 6) AS survival FROM ({REPORT})""")
+def overall_report(spark, d):
+    out = reports.overall(_report(spark, d))
+    return out.select("winners", "failures", *(F.round(c, 6).alias(c) for c in ("class_accuracy", "exact_accuracy", "median_of_medians", "p90_of_p90s", "survival")))
+
+
+@query(f"""SELECT category || ' | ' || winners || ' | ' || printf('%.1f%%', 100 * survival) || ' | ' || coalesce(printf('%.1f%%', 100 * class_accuracy), 'n/a') || ' | ' || repeat('#', round_even(30.0 * winners / (winners + failures), 0)::INTEGER) AS line FROM ({REPORT})""")
+def report_lines(spark, d):
+    return reports.report_lines(_report(spark, d), "category")
+
+
+@query(f"""SELECT CAST(b AS INTEGER) AS bucket, name, coalesce(n, 0) AS n FROM (VALUES (0, '<=-250'), (1, '(-250,-100]'), (2, '(-100,-25]'), (3, '(-25,25]'), (4, '(25,100]'), (5, '(100,250]'), (6, '>250')) AS t(b, name) LEFT JOIN
+  (SELECT CASE WHEN cents <= -250 THEN 0 WHEN cents <= -100 THEN 1 WHEN cents <= -25 THEN 2 WHEN cents <= 25 THEN 3 WHEN cents <= 100 THEN 4 WHEN cents <= 250 THEN 5 ELSE 6 END AS b, count(*) AS n FROM ({PITCHED}) WHERE reason IS NULL GROUP BY 1) USING (b)""")
+def cents_histogram(spark, d):
+    return reports.histogram(_pitched(spark, d)[0], F.col("cents"))
+
+
+@query(f"""SELECT category, count(*) AS "groups", count(*) FILTER (won) AS won, round_even(100.0 * count(*) FILTER (won) / count(*), 1)::DOUBLE AS percent,
+  CASE WHEN count(*) FILTER (won) = 0 THEN 'waiting' WHEN count(*) FILTER (won) < count(*) THEN 'running' ELSE 'done' END AS status FROM ({JOBS}) GROUP BY 1""")
+def gate_progress(spark, d):
+    j, won = _jobs(spark, d)
+    return reports.progress(j, won, "category")
+
+
+@query("SELECT round(avg(value), 6) AS mean_seconds, h::DOUBLE AS hourly, round(avg(value) * 1000 / 3600 * h, 4)::DOUBLE AS price FROM events, (VALUES (0.86), (1.19), (1.80)) AS t(h) GROUP BY h")
+def price_table(spark, d):
+    out = reports.price_table(table(spark, d, "events"), "value", 1000)
+    return out.select(F.round("mean_seconds", 6).alias("mean_seconds"), "hourly", F.round("price", 4).alias("price"))
+
+
+@query("SELECT split_part(p_type, ' ', 1) AS style, count(*) AS n, round_even(100.0 * count(*) / (SELECT count(*) FROM part), 0)::INTEGER AS percent FROM part GROUP BY 1")
+def style_histogram(spark, d):
+    p = table(spark, d, "part")
+    total = p.agg(F.count("*").alias("total"))  # one row
+    n = p.groupBy(F.split("p_type", " ")[0].alias("style")).agg(F.count("*").alias("n"))
+    return n.join(F.broadcast(total)).select("style", "n", F.bround(100.0 * F.col("n") / F.greatest(F.lit(1), "total")).cast("int").alias("percent"))
+
+
+@query("SELECT source, count(*) AS files, sum(strlen(text))::BIGINT AS bytes FROM documents GROUP BY 1")
+def payload_size(spark, d):
+    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), F.sum(F.octet_length("text")).alias("bytes"))
+
+
+@query("SELECT doc_id, sha256(text) AS digest, strlen(text) AS bytes FROM documents")
+def payload_digest(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("bytes"))
+
+
+@query(f"SELECT lang, norm, count(*) AS sources, arg_min(prompt, doc_id * 1000000 + line_no) AS prompt FROM (SELECT *, {NORM} AS norm FROM ({LINES})) GROUP BY 1, 2 HAVING count(*) > 1")
+def instruments(spark, d):
+    lines = _lines(spark, d).withColumn("norm", scalars.normalized(F.col("prompt")))
+    return lines.groupBy("lang", "norm").agg(F.count("*").alias("sources"), F.min_by("prompt", F.struct("doc_id", "line_no")).alias("prompt")).where("sources > 1")
+
+
+@query(r"SELECT page_id, path, NOT regexp_matches(path, '(^|/)[_.]') AS kept FROM (SELECT page_id, regexp_replace(url, '^[a-z]+://[^/]*/', '') AS path FROM pages)")
+def path_exclusion(spark, d):
+    p = table(spark, d, "pages").select("page_id", F.regexp_replace("url", "^[a-z]+://[^/]*/", "").alias("path"))
+    return p.select("page_id", "path", (~excluded(F.col("path"))).alias("kept"))
+
+
+# --- likeness of prompts ---------------------------------------------------------------------------------------
+
+TOKENS = r"SELECT item_id, list_distinct(list_filter(string_split(trim(regexp_replace(lower(replace(text, ',', ' ')), '\s+', ' ', 'g')), ' '), lambda w: w <> '')) AS t FROM benchmark"
+
+
+@query(f"""WITH s AS ({TOKENS}), l AS (SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.t, b.t)) = len(a.t) AND len(a.t) = len(b.t) AS same FROM s a, s b
+  WHERE len(a.t) > 0 AND len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t)))::DOUBLE >= 0.85)
+  SELECT item_id, coalesce((SELECT min(b) FROM l WHERE a = item_id AND same), item_id) AS class_id, greatest((SELECT count(*) FROM l WHERE a = item_id) - 1, 0) AS n_links FROM benchmark""")
+def near_duplicate_prompts(spark, d):
+    return similarity.near_duplicates(table(spark, d, "benchmark"), "item_id", "text")
+
+
+# --- scalars ---------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT p_partkey, round(pow(10, -p_size / 20.0), 6) AS amplitude, round(20 * log10(p_retailprice), 6) AS db, round(440 * pow(2, (p_size - 69) / 12.0), 6) AS hz, round(69 + 12 * log2(p_retailprice / 440), 6) AS midi,
+  round(1200 * log2(p_retailprice / (p_size + 1)), 6) AS cents, round_even(p_retailprice / 7, 0) AS even, CAST(floor((p_size - 30) / 4.0) AS INTEGER) AS fdiv, greatest(least(p_size, 40), 10) AS clip,
+  ['C', 'C#', 'D', 'D#', 'E', 'F', 'F#', 'G', 'G#', 'A', 'A#', 'B'][p_size % 12 + 1] || (p_size // 12 - 1) AS note FROM part""")
+def scalar_math(spark, d):
+    p, size, price = table(spark, d, "part"), F.col("p_size"), F.col("p_retailprice")
+    r = lambda c: F.round(c, 6)
+    return p.select(
+        "p_partkey", r(scalars.db_to_amplitude(-size)).alias("amplitude"), r(scalars.amplitude_to_db(price)).alias("db"), r(scalars.midi_to_hz(size)).alias("hz"), r(scalars.hz_to_midi(price)).alias("midi"),
+        r(scalars.cents(price, size + 1)).alias("cents"), scalars.half_even(price / 7).alias("even"), scalars.floor_div(size - 30, 4).alias("fdiv"), scalars.clipped(size, 10, 40).alias("clip"), scalars.note_name(size).alias("note"),
+    )
+
+
+@query(r"""SELECT p_partkey, trim(regexp_replace(lower(p_name), '\s+', ' ', 'g')) AS norm, substr(sha1(p_brand || ':' || p_name || ':' || p_size), 1, 8) AS id, lpad(p_size::varchar, 3, '0') AS padded, regexp_replace(p_type, 'E', '*') AS first_only,
+  repeat('#', round_even(30.0 * p_size / 50, 0)::INTEGER) AS bar FROM part""")
+def scalar_text(spark, d):
+    p, size = table(spark, d, "part"), F.col("p_size")
+    return p.select("p_partkey", scalars.normalized(F.col("p_name")).alias("norm"), scalars.short_id(F.col("p_brand"), F.col("p_name"), size).alias("id"), scalars.padded(size).alias("padded"), scalars.replace_first(F.col("p_type"), "E", "*").alias("first_only"), scalars.bar(size, F.lit(50)).alias("bar"))
+
+
+@query("""SELECT event_id, round_even(exp(-pow((ln(value) - ln(sqrt(80.0 * 240.0))) / 0.9, 2)) * (0.4 + 0.6 * (event_id % 10) / 10) * (0.4 + 0.6 * (event_id % 7) / 7) * (0.5 + 0.5 * least(1.0, (event_id % 20) / 12)), 4)::DOUBLE AS drum,
+  round(pow((event_id % 10) / 10, 2) * exp(-abs(value - 250) / 50) * (event_id % 3) / 3, 6) AS pitched FROM events""")
+def candidate_scores(spark, d):
+    e, k = table(spark, d, "events"), F.col("event_id")
+    drum = scalars.drum_score(F.col("value"), F.lit(80.0), F.lit(240.0), (k % 10) / 10, (k % 7) / 7, (k % 20).cast("double"))
+    return e.select("event_id", drum.alias("drum"), F.round(scalars.pitched_score((k % 10) / 10, F.col("value") - 250, (k % 3) / 3), 6).alias("pitched"))
+
+
+@query("""SELECT p_partkey, (SELECT p FROM (VALUES (b - 12), (b), (b + 12)) AS t(p) ORDER BY abs(p - target), p LIMIT 1) AS seated, CASE WHEN abs(p_retailprice / 20 - target) <= 2 THEN target ELSE round_even(p_retailprice / 20, 0)::INTEGER END AS root FROM
+  (SELECT p_partkey, p_retailprice, p_size + 24 AS target, (p_size + 24) - (p_size + 24) % 12 + CAST(p_partkey % 12 AS INTEGER) AS b FROM part)""")
+def octave_and_root(spark, d):
+    p, target = table(spark, d, "part"), F.col("p_size") + 24
+    return p.select("p_partkey", scalars.octave_reseat((F.col("p_partkey") % 12).cast("int"), target).alias("seated"), scalars.effective_root(F.col("p_retailprice") / 20, target, F.lit(2)).alias("root"))
+
+
+# --- signals ---------------------------------------------------------------------------------------------------
+
+CELLS = "SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings"
+
+
+def _signals(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+
+
+@query(f"""SELECT vec_id, CASE WHEN max(abs(v)) < 1e-4 THEN 'silent' WHEN avg(CASE WHEN abs(v) >= 0.999 THEN 1 ELSE 0 END) > 0.01 THEN 'clipped' WHEN abs(avg(v)) > 0.1 * max(abs(v)) THEN 'dc_offset' END AS reason,
+  round(max(abs(v)) / sqrt(avg(v * v)), 6) AS crest, max(abs(v)) AS peak FROM ({CELLS}) GROUP BY vec_id""")
+def signal_prefilter(spark, d):
+    s, x = _signals(spark, d), F.col("x")
+    return s.select("vec_id", arrays.prefilter_reason(x).alias("reason"), F.round(arrays.crest(x), 6).alias("crest"), arrays.peak(x).alias("peak"))
+
+
+RUNS = f"""SELECT vec_id, min(i) - 1 AS start, count(*) AS length FROM (SELECT vec_id, i, i - row_number() OVER (PARTITION BY vec_id ORDER BY i) AS g FROM ({CELLS}) WHERE v >= 0) GROUP BY vec_id, g"""
+
+
+@query(f"SELECT vec_id, coalesce(start, -1) AS start, coalesce(length, 0) AS length FROM embeddings LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY length DESC, start) AS n FROM ({RUNS})) USING (vec_id) WHERE coalesce(n, 1) = 1")
+def longest_runs(spark, d):
+    return _signals(spark, d).select("vec_id", arrays.longest_run(F.col("x"), lambda v: v >= 0).alias("r")).select("vec_id", "r.start", "r.length")
+
+
+@query(f"""WITH c AS (SELECT vec_id, i, v, max(v) OVER (PARTITION BY vec_id) AS m FROM ({CELLS})), h AS (SELECT vec_id, i, CASE WHEN v >= 0.5 * m THEN 1 WHEN v <= 0.15 * m THEN 0 END AS s FROM c),
+  s AS (SELECT vec_id, s, lag(s) OVER (PARTITION BY vec_id ORDER BY i) AS b FROM h WHERE s IS NOT NULL) SELECT vec_id, count(*) FILTER (s = 1 AND (b = 0 OR b IS NULL)) - 1 AS n FROM s GROUP BY 1""")
+def reattack_counts(spark, d):
+    return _signals(spark, d).select("vec_id", arrays.reattacks(F.col("x")).cast("long").alias("n"))
+
+
+@query(f"""WITH c AS (SELECT vec_id, i, v, max(abs(v)) OVER (PARTITION BY vec_id) AS m FROM ({CELLS})) SELECT vec_id, min(i) FILTER (abs(v) >= m) - min(i) FILTER (abs(v) >= m * 0.1) AS attack,
+  least(max(i) FILTER (abs(v) >= m * pow(10, -0.3)) + 2, 64) - greatest(min(i) FILTER (abs(v) >= m * pow(10, -0.3)) - 2, 1) + 1 AS trimmed, round(sum(v / m), 6) AS normalized,
+  round(sum(v * least(1.0, i / 8.0) * least(1.0, (65 - i) / 8.0)), 6) AS faded, round(sum(v) FILTER (i <= 20), 6) AS truncated FROM c GROUP BY 1""")
+def signal_shaping(spark, d):
+    s, x = _signals(spark, d), F.col("x")
+    return s.select(
+        "vec_id", arrays.attack(x).alias("attack"), F.size(arrays.trimmed(x, -6.0, 2)).alias("trimmed"), F.round(arrays.total(arrays.peak_normalized(x)), 6).alias("normalized"),
+        F.round(arrays.total(arrays.faded(x, 8)), 6).alias("faded"), F.round(arrays.total(arrays.truncated(x, 20)), 6).alias("truncated"),
+    )
+
+
+@query()
+def greedy_prompts(spark, d):
+    return similarity.greedy_accept(table(spark, d, "benchmark"), "item_id", "text").select("item_id")
+
+
+@query()
+def generate_and_gate(spark, d):
+    """Prompts of the benchmark table through jobs, synthetic signals, gate and best of N; a row for each winner."""
+    from .plans.curation import campaign
+
+    texts = table(spark, d, "benchmark").select(F.concat(F.lit("bench-"), (F.col("item_id") % 4).cast("string")).alias("category"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
+    return campaign(texts, [40, 52], 3)[0]
+
+
+FLAGSHIP = best_of_group
