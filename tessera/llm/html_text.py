@@ -41,6 +41,7 @@ MARK = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'
 NAME = re.compile(r"[a-z]+")
 SAMPLES = 2
 LEAST_PAGES, LEAST_SHARE = 10, 0.9
+NEARLY = 0.6
 #: Sample pages are kept by every worker up to this total size, else joined by host.
 BROADCAST_BYTES = 32 << 20
 CELLS = 1 << 18
@@ -208,11 +209,14 @@ class Sample:
         self.template = set(template or ())
 
 
-def aligned(root: Node, samples: list[Sample]) -> tuple[int, list[tuple[Node, Node]]]:
-    """(number of the sample that fits best, pairs of its leaves and the page's)."""
+def aligned(root: Node, samples: list[Sample]) -> list[tuple[int, list[tuple[Node, Node]]]]:
+    """(number, pairs of its leaves and the page's) of the samples that fit the page nearly as well as the best one.
+
+    A sample page fits itself best, so it is the others of its layout that tell its template.
+    """
     found = [match(s.root, root) for s in samples]
-    best = max(range(len(found)), key=lambda k: found[k][0])
-    return best, found[best][1]
+    best = max(score for score, _ in found)
+    return [(k, pairs) for k, (score, pairs) in enumerate(found) if score >= NEARLY * best]
 
 
 def _text_size(node: Node) -> int:
@@ -284,11 +288,11 @@ def _count(shared):
                 samples = get(host, pages, None)
                 if not samples or not page:
                     continue
-                best, pairs = aligned(parsed(page), samples)
-                for p, q in pairs:
-                    entry = counts.setdefault((host, best, p.n), [0, 0])
-                    entry[0] += 1
-                    entry[1] += p.text == q.text
+                for k, pairs in aligned(parsed(page), samples):
+                    for p, q in pairs:
+                        entry = counts.setdefault((host, k, p.n), [0, 0])
+                        entry[0] += 1
+                        entry[1] += p.text == q.text
         rows = [(h, s, n, a, e) for (h, s, n), (a, e) in counts.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["host", "sample", "leaf", "met", "same"])
 
@@ -305,8 +309,7 @@ def _extract(shared):
                 leaves(root)
                 samples, template = get(host, pages, templates), set()
                 if any(s.template for s in samples):
-                    best, pairs = aligned(root, samples)
-                    template = {q.n for p, q in pairs if p.n in samples[best].template and p.text == q.text}
+                    template = {q.n for k, pairs in aligned(root, samples) for p, q in pairs if p.n in samples[k].template and p.text == q.text}
                 out.append(main_text(root, template))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
