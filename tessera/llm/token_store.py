@@ -26,8 +26,12 @@ from pyspark.sql import functions as F
 from .scratch import fresh_path, partitions, stored
 
 MAGIC = b"TSR1"
-SHARD_IDS = 4 << 20
-CACHE_CUTS = 600_000
+SHARD_IDS = 2 << 20
+CACHE_CUTS = 1_200_000
+JOINED = 4096
+#: The byte-level alphabet's letter for a space.
+SPACE = "Ġ"
+OTHER_SPACE = re.compile(r"[^\S \n]")
 END_ID = 0
 LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.int64)
 LOADED: dict[str, Tokens] = {}
@@ -46,6 +50,8 @@ class Tokens:
         self.library = Tokenizer.from_file(path)
         before = str(self.library.pre_tokenizer)
         self.cuttable = "ByteLevel(add_prefix_space=False" in before and "use_regex=True" in before and self.library.normalizer is None
+        names = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
+        self.leads = np.array([x.startswith(SPACE) for x in names])
         self.cache: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
 
@@ -56,21 +62,40 @@ class Tokens:
         for held in (self.cache, self.heads):
             if len(held) > CACHE_CUTS:
                 held.clear()
-        each = [x.split(" ") if not re.search(r"\s |^ | $| \s", x) else re.split(r"(?<=\S) (?=\S)", x) for x in texts]
+        each = [x.split(" ") if _plain(x) else re.split(r"(?<=\S) (?=\S)", x) for x in texts]
         heads = [x[0] for x in each]
         found = [list(map(self.cache.get, x[1:])) for x in each]
         lacking = [i for i, x in enumerate(found) if None in x]
         self._learn(list({x for x in heads if x not in self.heads}), self.heads, "")
         self._learn(list({cut for i in lacking for cut, x in zip(each[i][1:], found[i], strict=True) if x is None}), self.cache, " ")
         for i in lacking:
-            found[i] = list(map(self.cache.__getitem__, each[i][1:]))
+            found[i] = [self.cache[cut] if x is None else x for cut, x in zip(each[i][1:], found[i], strict=True)]
         return [self.heads[head] + b"".join(x) for head, x in zip(heads, found, strict=True)]
 
     def _learn(self, cuts: list[str], held: dict[str, bytes], lead: str) -> None:
+        """New cuts go to the library as one text, cut again at the ids that begin with a space; odd ones by themselves."""
+        if lead:
+            joined = [x for x in cuts if x and x.isprintable() and " " not in x and "<|" not in x]
+            for at in range(0, len(joined), JOINED):
+                some = joined[at : at + JOINED]
+                ids = np.array(self.library.encode_batch_fast([lead + lead.join(some)], add_special_tokens=False)[0].ids, np.uint32)
+                starts = np.flatnonzero(self.leads[ids])
+                if len(starts) == len(some) and starts[0] == 0:
+                    blob, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+                    begin = 0
+                    for cut, end in zip(some, ends, strict=True):
+                        held[cut] = blob[begin:end]
+                        begin = end
+            cuts = [x for x in cuts if x not in held]
         for cut, x in zip(cuts, self.library.encode_batch_fast([lead + x for x in cuts], add_special_tokens=False), strict=True):
             held[cut] = array("I", x.ids).tobytes()
 
 
+def _plain(text: str) -> bool:
+    """Whether every space stands alone between two other characters, and there is no other white space but line ends."""
+    return not ("  " in text or " \n" in text or "\n " in text or text.startswith(" ") or text.endswith(" ") or OTHER_SPACE.search(text))
+
+
 def loaded(path: str) -> Tokens:
     if path not in LOADED:
         LOADED[path] = Tokens(path)
