@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,11 +15,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='tessera-')}"
+        at = spark.sparkContext.getCheckpointDir() or f"file://{_own_dir()}"
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
+def _own_dir() -> str:
+    """A folder that goes when this process ends."""
+    at = tempfile.mkdtemp(prefix="tessera-")
+    atexit.register(shutil.rmtree, at, True)
+    return at
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera-{name}-{uuid.uuid4().hex}"
 

@@ -130,3 +130,18 @@ def test_op_queries_match_brute_force(spark, sf_dir):
     want = windows_removed([r.text for r in docs], 35)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op1_substring_dedup"](spark, sf_dir).collect()}
     assert got == {r.doc_id: (n, k, hashlib.sha256(t.encode()).hexdigest()) for r, (n, k, t) in zip(docs, want, strict=True)}
+
+
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op2_near_dedup", "op5_warc", "op7_decontaminate"])
+def test_queries_agree_with_sql(spark, sf_dir, name):
+    import duckdb
+
+    from tessera.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    want = con.sql(ORACLE_SQL[name])
+    df = QUERIES[name](spark, sf_dir)
+    assert sorted(df.columns) == sorted(want.columns)
+    assert sorted((tuple(r[c] for c in want.columns) for r in df.collect()), key=str) == sorted(want.fetchall(), key=str)
