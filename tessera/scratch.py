@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _own_dir() -> str:
+    """A folder that goes when this process ends."""
+    at = tempfile.mkdtemp(prefix="tessera-")
+    atexit.register(shutil.rmtree, at, True)
+    return at
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """``spark.checkpoint.dir`` of the session counts; only where it is unset (tests) a temporary folder is taken."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tessera-')}")
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or f"file://{_own_dir()}")
 
 
 def kept(df: DataFrame, name: str = "") -> DataFrame:
