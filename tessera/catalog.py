@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import arrays, scalars
 from .operators import gates, jobs, reports, retry, similarity, zones
+from .plans import profiles
 from .sources.files import excluded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,6 +161,20 @@ def windowed_rejections(spark, d):
     return v.groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("start"), "reason").agg(F.count("*").alias("n"))
 
 
+DRUM_VALUES = "(VALUES " + ", ".join(f"('{c}', {lo}, {hi}, {onset}, {decay}, {single}, {least})" for c, _, lo, hi, onset, decay, single, least, _, _ in profiles.DRUMS[:-1]) + ") AS p(c, lo, hi, onset, decay, single, least)"
+
+
+@query(f"""SELECT event_id, CASE WHEN event_type = 'error' THEN 'read_failed:x' WHEN value / 300 < coalesce(least, 0.05) THEN 'too_short' WHEN coalesce(onset, 120) > 0 AND k > coalesce(onset, 120) THEN 'slow_attack'
+  WHEN coalesce(decay, true) AND event_id % 10 > 8 THEN 'sustained_no_decay' WHEN coalesce(single, false) AND event_id % 5 = 0 THEN 'multi_hit_loop' WHEN value * 20 < coalesce(lo, 80) / 3 OR value * 20 > coalesce(hi, 12000) * 3 THEN 'off_band' END AS reason
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": *(-?\\d+)', 1) AS INTEGER) AS k, ['kick', 'clap', 'hat-open', 'riser', 'unknown'][event_id % 5 + 1] AS category FROM events) LEFT JOIN {DRUM_VALUES} ON category = c""")
+def drum_gate(spark, d):
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = profiles.with_profile(e.withColumn("category", F.element_at(F.array(*map(F.lit, ("kick", "clap", "hat-open", "riser", "unknown"))), (F.col("event_id") % 5 + 1).cast("int"))))
+    unread = F.when(F.col("event_type") == "error", "read_failed:x")
+    reason = profiles.drum_reason(unread, F.lit(None).cast("string"), F.col("value") / 300, F.col("k"), (F.col("event_id") % 10 - 8) * 0.61, (F.col("event_id") % 5 == 0).cast("int"), F.col("value") * 20)
+    return e.select("event_id", reason.alias("reason"))
+
+
 # --- retries ---------------------------------------------------------------------------------------------------
 
 JOBS = "SELECT o_orderkey AS id, o_orderpriority AS category, o_custkey AS prompt, o_orderstatus = 'F' AS won FROM orders"
@@ -442,6 +457,30 @@ def greedy_prompts(spark, d):
     return similarity.greedy_accept(table(spark, d, "benchmark"), "item_id", "text").select("item_id")
 
 
+@query()
+def configured_zones(spark, d):
+    """Zones of every pitched category with its own sources, span and step; the driver tables play no part."""
+    from functools import reduce
+
+    plans = [zones.zone_plan(rows, "category", "targets", span, step) for (span, step), rows in _by_layout(spark)]
+    return reduce(DataFrame.unionByName, plans)
+
+
+def _by_layout(spark):
+    table_ = profiles.pitched(spark)
+    return [((r.span, r.step), table_.where((F.col("span") == r.span) & (F.col("step") == r.step))) for r in table_.select("span", "step").distinct().collect()]
+
+
+@query()
+def authored_prompts(spark, d):
+    """Prompts for two categories from the words of the benchmark table's first lines, none like another."""
+    from .plans.authoring import authored
+
+    words = {"styles": {"edm": ["house", "trance", "dubstep"], "urban": ["trap", "drill"]}, "weights": {"edm": 0.7, "urban": 0.3}, "tones": ["warm", "bright", "dark", "clean"], "characters": ["punchy", "soft", "metallic", "wooden", "airy"], "decays": ["short decay", "long tail", "tight"], "processing": ["saturated", "filtered", "compressed", "wide"], "noun": "kick", "pitched": False, "excluded": "no hats"}
+    have = table(spark, d, "benchmark").groupBy(F.element_at(F.array(F.lit("kick"), F.lit("bass")), (F.col("item_id") % 2 + 1).cast("int")).alias("category")).agg(F.collect_list("text").alias("existing"))
+    return authored(have.select("category", F.lit(25).alias("need"), "existing"), {"kick": words, "bass": {**words, "noun": "bass", "pitched": True}})
+
+
 @query()
 def generate_and_gate(spark, d):
     """Prompts of the benchmark table through jobs, synthetic signals, gate and best of N; a row for each winner."""

@@ -149,3 +149,38 @@ def test_near_duplicates_and_greedy(spark):
         if s and not any(alike(s, sets[j]) for j in accepted):
             accepted.append(i)
     assert sorted(r.id for r in similarity.greedy_accept(df, "id", "text").collect()) == accepted
+
+
+def test_profiles(spark):
+    from tessera.plans import profiles
+
+    df = spark.createDataFrame([("kick",), ("nothing",)], "category string")
+    got = {r.category: (r.kind, r.centroid_hi, r.variants) for r in profiles.with_profile(df).collect()}
+    assert got == {"kick": ("sub", 600.0, 6), "nothing": ("percussive", 12000.0, 5)}
+    assert profiles.with_config(spark.createDataFrame([("basses",)], "category string")).first().targets == [28, 40, 52]
+    with pytest.raises(Exception, match="no configuration"):
+        profiles.with_config(df).collect()
+    for low, high in ((r.centroid_lo, r.centroid_hi) for r in profiles.drums(spark).collect()):
+        assert 0 < low < high
+    for r in profiles.pitched(spark, several=False).collect():
+        assert all(0 <= t <= 127 for t in r.targets) and r.span >= 0 and r.step >= 1 and r.variants >= 1
+
+
+def test_authoring_is_stable_and_free_of_copies(spark):
+    from tessera.catalog import QUERIES
+
+    a, b = (sorted(map(tuple, QUERIES["authored_prompts"](spark, "/root/testdata/sf0.001").collect())) for _ in range(2))
+    assert a == b and {r[0] for r in a} == {"kick", "bass"}
+    for category in ("kick", "bass"):
+        sets = [frozenset(r[3].lower().replace(",", " ").split()) for r in a if r[0] == category]
+        assert all(len(x & y) < 0.85 * len(x | y) for i, x in enumerate(sets) for y in sets[:i])
+
+
+def test_prompt_file_and_rows(spark, tmp_path):
+    from tessera.sources import sinks
+    from tessera.sources.files import json_rows
+
+    lines = spark.createDataFrame([("k", "curated", 1, "a"), ("k", "generated", 2, "c"), ("k", "generated", 1, "b")], "category string, section string, place int, prompt string")
+    assert sinks.prompt_file(lines).first().text == "# k: 3 prompts\n\n# --- curated ---\na\n\n# --- generated ---\nb\nc\n"
+    sinks.write_json_rows(lines, str(tmp_path / "j"), ["place"])
+    assert json_rows(spark, str(tmp_path / "j"), "prompt string", strict=True).count() == 3
