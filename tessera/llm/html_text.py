@@ -30,6 +30,8 @@ BOILER_NAMES = frozenset(
     "sidebar aside rail widget notice cookie cookies consent gdpr popup modal overlay alert subscribe subscription newsletter signup login share sharing social comment comments disqus "
     "replies responses related recommended pagination pager toolbar search searchbox form".split()
 )
+#: Names that say of an article element itself that it is none.
+NOT_ARTICLE = frozenset("ad ads advert comment comments promo related reply sponsored teaser".split())
 MAIN_NAMES = frozenset("article content main post entry story maincontent".split())
 #: A tag with one of these ends an open one of the same group.
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -70,7 +72,7 @@ def _node(tag: str, attributes: str) -> Node:
                 label += f".{value}"
                 if tag not in ("html", "body"):
                     words = {*NAME.findall(value), *re.split(r"\s+", value), *re.split(r"[\s_-]+", value)}
-                    boiler |= not BOILER_NAMES.isdisjoint(words)
+                    boiler |= not (NOT_ARTICLE if tag in ("article", "main") else BOILER_NAMES).isdisjoint(words)
                     main |= not MAIN_NAMES.isdisjoint(words)
     return Node(tag, label, boiler, main and not boiler)
 
@@ -249,8 +251,12 @@ def main_text(root: Node, template: set[int]) -> str:
     for tag in ("article", None):
         if mains := _mains(root, tag):
             best = max(mains, key=_text_size)
+            whole: list[str] = []
+            _kept(best, set(), whole, best.tag == "article")
             out: list[str] = []
             _kept(best, template, out, best.tag == "article")
+            if 2 * sum(map(len, out)) < sum(map(len, whole)):  # pages that share their article, not a template
+                out = whole
             if out:
                 return " ".join(out)
     out = []

@@ -30,6 +30,12 @@ def test_pages_without_an_article():
     assert (text_of(""), text_of("plain  text"), text_of("<script>never closed")) == ("", "plain text", "")
 
 
+def test_an_article_that_pages_share_stays(spark):
+    pages = [(i, f"http://h.example/{i}", "<nav>menu</nav><article class='post share'><h1>One</h1><p>story for all</p></article>") for i in range(15)]
+    got = page_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {"One story for all"}
+
+
 def test_tree_matching_finds_the_same_slots():
     one, two = Sample("<div><h2>Same</h2><p>one</p><p>two</p></div>"), parsed("<div><h2>Same</h2><div>new</div><p>uno</p></div>")
     leaves(two)
