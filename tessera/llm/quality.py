@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import partitions, stored
 from .words import SPACE, U64, mix, seeds, slices, span_hashes, word_bounds, word_hashes
 
 #: Insults that the toxicity labellers look for, in three overlapping lists.
@@ -29,7 +29,7 @@ INSULTS = (
 BITS = 20
 STARTS = (4, 5, 6, 7)
 DIMENSIONS = 1 << BITS
-SAMPLE = 4000
+SAMPLE = 2500
 LEAST_DEVIATIONS = 4.0
 #: Documents under this posterior may be examples of good ones.
 SURELY_GOOD = 0.01
@@ -167,29 +167,32 @@ def _features(batches):
         for _, data, offsets in slices(batch.column("text")):
             x, at = features(data, offsets)
             n = len(at) - 1
-            yield pa.RecordBatch.from_arrays([batch.column("own").slice(row, n), batch.column("label").slice(row, n), pa.array([v.tobytes() for v in np.split(x, at[1:-1])], pa.binary())], ["own", "label", "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, n) for c in ("key", "own", "label")), pa.array([v.tobytes() for v in np.split(x, at[1:-1])], pa.binary())], ["key", "own", "label", "x"])
             row += len(at) - 1
 
 
-def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression by Adagrad over all rows each round.
 
     Only features whose shares of bad and of good documents differ by LEAST_DEVIATIONS or more have a weight, and each
     is scaled by its smoothed log ratio, so what few documents share can't be learnt by heart.
     """
     weight, bias = np.zeros(2 * DIMENSIONS, np.float32), 0.0
-    flat = np.concatenate(x)
-    row = np.repeat(np.arange(len(x)), [len(v) for v in x])
+    on_bad, on_good = np.zeros(2 * DIMENSIONS, np.float32), np.zeros(2 * DIMENSIONS, np.float32)
+    for v, t in zip(x, target, strict=True):  # row by row: the driver never holds a second copy of the features
+        on_bad[v] += t
+        on_good[v] += 1 - t
     n_bad, n_good = target.sum(), (1 - target).sum()
-    on_bad, on_good = np.bincount(flat, target[row], 2 * DIMENSIONS), np.bincount(flat, 1 - target[row], 2 * DIMENSIONS)
-    share = np.clip((on_bad + on_good) / len(x), 1e-9, 1 - 1e-9)
-    deviations = (on_bad / n_bad - on_good / n_good) / np.sqrt(share * (1 - share) * (1 / n_bad + 1 / n_good))
-    used = np.flatnonzero(np.abs(deviations) >= LEAST_DEVIATIONS)
-    scale = np.log((on_bad[used] + 1) / (n_bad + 2)) - np.log((on_good[used] + 1) / (n_good + 2))
-    own = np.full(2 * DIMENSIONS, -1, np.int64)
+    some = np.flatnonzero(on_bad + on_good >= 2)
+    share = (on_bad[some] + on_good[some]) / len(x)
+    deviations = (on_bad[some] / n_bad - on_good[some] / n_good) / np.sqrt(np.clip(share * (1 - share), 1e-9, 1) * (1 / n_bad + 1 / n_good))
+    used = some[np.abs(deviations) >= LEAST_DEVIATIONS]
+    scale = (np.log((on_bad[used] + 1) / (n_bad + 2)) - np.log((on_good[used] + 1) / (n_good + 2))).astype(np.float64)
+    own = np.full(2 * DIMENSIONS, -1, np.int32)
     own[used] = np.arange(len(used))
-    has = own[flat] >= 0
-    row, flat = row[has], own[flat[has]]
+    parts = [(y := own[v])[y >= 0] for v in x]
+    row, flat = np.repeat(np.arange(len(x), dtype=np.int32), [len(v) for v in parts]), np.concatenate(parts)
+    del on_bad, on_good, own, parts
     value = scale[flat]
     w, seen, seen_bias = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
     for _ in range(rounds):
@@ -245,11 +248,11 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         order = [F.col("label") < 0, F.xxhash64("key")]
         picked = sided.where("side = 'bad'").orderBy(*order).limit(sample).union(sided.where("side = 'good'").orderBy(*order).limit(sample))
         picked = stored(picked.select("key", "own", "label"), "picked")  # at most 2 * sample rows
-        got = rows.join(F.broadcast(picked), "key").dropDuplicates(["key"]).select("own", "label", "text").mapInArrow(_features, "own int, label int, x binary").collect()
-        got.sort(key=lambda r: bytes(r["x"]))
-        target = np.array([posterior[r["own"], r["label"]] for r in got])
+        met = rows.join(F.broadcast(picked), "key").dropDuplicates(["key"]).select("key", "own", "label", "text").repartition(partitions(docs.sparkSession), "key")
+        got = sorted((r["key"], posterior[r["own"], r["label"]], np.frombuffer(r["x"], np.int32)) for r in met.mapInArrow(_features, "key long, own int, label int, x binary").toLocalIterator())
+        target = np.array([p for _, p, _ in got])
         if 0 < (target >= 0.5).sum() < len(target):
-            model[name]["weight"], bias = train([np.frombuffer(r["x"], np.int32) for r in got], target)
+            model[name]["weight"], bias = train([x for _, _, x in got], target)
             here = float(np.clip(target.mean(), 1e-4, 0.9999))
             model[name]["bias"] = bias + float(np.log(share / (1 - share)) - np.log(here / (1 - here)))
     return model
