@@ -29,8 +29,9 @@ INSULTS = (
 BITS = 20
 STARTS = (4, 5, 6, 7)
 DIMENSIONS = 1 << BITS
-SAMPLE = 2500
+SAMPLE = 4000
 LEAST_DEVIATIONS = 4.0
+TRAIN_ROWS = 256
 #: Documents under this posterior may be examples of good ones.
 SURELY_GOOD = 0.01
 LEAST_LABELLED = 20
@@ -171,11 +172,12 @@ def _features(batches):
             row += len(at) - 1
 
 
-def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression by Adagrad over all rows each round.
 
     Only features whose shares of bad and of good documents differ by LEAST_DEVIATIONS or more have a weight, and each
-    is scaled by its smoothed log ratio, so what few documents share can't be learnt by heart.
+    is scaled by its smoothed log ratio, so what few documents share can't be learnt by heart. ``x`` is used up: each
+    row is cut down to its features with a weight, and a round goes over TRAIN_ROWS rows at a time.
     """
     weight, bias = np.zeros(2 * DIMENSIONS, np.float32), 0.0
     on_bad, on_good = np.zeros(2 * DIMENSIONS, np.float32), np.zeros(2 * DIMENSIONS, np.float32)
@@ -183,26 +185,39 @@ def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 300, ridge: flo
         on_bad[v] += t
         on_good[v] += 1 - t
     n_bad, n_good = target.sum(), (1 - target).sum()
-    some = np.flatnonzero(on_bad + on_good >= 2)
+    some = np.flatnonzero(on_bad + on_good > 0)
     share = (on_bad[some] + on_good[some]) / len(x)
     deviations = (on_bad[some] / n_bad - on_good[some] / n_good) / np.sqrt(np.clip(share * (1 - share), 1e-9, 1) * (1 / n_bad + 1 / n_good))
     used = some[np.abs(deviations) >= LEAST_DEVIATIONS]
     scale = (np.log((on_bad[used] + 1) / (n_bad + 2)) - np.log((on_good[used] + 1) / (n_good + 2))).astype(np.float64)
     own = np.full(2 * DIMENSIONS, -1, np.int32)
     own[used] = np.arange(len(used))
-    parts = [(y := own[v])[y >= 0] for v in x]
-    row, flat = np.repeat(np.arange(len(x), dtype=np.int32), [len(v) for v in parts]), np.concatenate(parts)
-    del on_bad, on_good, own, parts
-    value = scale[flat]
+    del on_bad, on_good
+    n = len(x)
+    for i in range(n):
+        y = own[x[i]]
+        x[i] = y[y >= 0]
+    del own
+    blocks = []
+    while x:
+        some = x[:TRAIN_ROWS]
+        del x[:TRAIN_ROWS]
+        blocks.append((np.array([len(v) for v in some]), np.concatenate(some)))
     w, seen, seen_bias = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat] * value, len(x)) + bias, -30, 30)))
-        error = (p - target) / len(x)
-        slope = np.bincount(flat, error[row] * value, len(used)) + ridge * w
+        slope, slope_bias, first, scaled = np.zeros(len(used)), 0.0, 0, w * scale
+        for sizes, flat in blocks:
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(row, scaled[flat], len(sizes)) + bias, -30, 30)))
+            error = (p - target[first : first + len(sizes)]) / n
+            slope += np.bincount(flat, error[row], len(used))
+            slope_bias += error.sum()
+            first += len(sizes)
+        slope = slope * scale + ridge * w
         seen += slope**2
         w -= 0.1 * slope / np.sqrt(seen)
-        seen_bias += error.sum() ** 2
-        bias -= 0.1 * error.sum() / np.sqrt(seen_bias)
+        seen_bias += slope_bias**2
+        bias -= 0.1 * slope_bias / np.sqrt(seen_bias)
     weight[used] = w * scale
     return weight, float(bias)
 
@@ -252,7 +267,9 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         got = sorted((r["key"], posterior[r["own"], r["label"]], np.frombuffer(r["x"], np.int32)) for r in met.mapInArrow(_features, "key long, own int, label int, x binary").toLocalIterator())
         target = np.array([p for _, p, _ in got])
         if 0 < (target >= 0.5).sum() < len(target):
-            model[name]["weight"], bias = train([x for _, _, x in got], target)
+            x = [v for _, _, v in got]
+            del got  # train() frees the rows as it goes
+            model[name]["weight"], bias = train(x, target)
             here = float(np.clip(target.mean(), 1e-4, 0.9999))
             model[name]["bias"] = bias + float(np.log(share / (1 - share)) - np.log(here / (1 - here)))
     return model

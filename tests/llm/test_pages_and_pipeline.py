@@ -116,6 +116,18 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean(clean) > 0.98 and np.mean(junk) < 0.1 and np.mean(toxic) < 0.3
 
 
+def test_scorer_learns_from_the_whole_sample():
+    import inspect
+
+    from tessera.llm import quality
+
+    assert quality.SAMPLE == 4000 and inspect.signature(quality.train).parameters["rounds"].default == 400
+    # One bad document among many good ones: what only it has still gets a weight.
+    x = [np.array([1, 2], np.int32), *(np.array([2, 3], np.int32) for _ in range(600))]
+    weight, _ = quality.train(x, np.array([1.0] + [0.0] * 600))
+    assert weight[1] > 0
+
+
 def test_classifier_edges(spark):
     rows = [(1, None), (None, ""), (2, "a fine text of common words " * 5), (2, "THIS!! IS!! LOUD!! " * 20)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as junk")
