@@ -20,6 +20,8 @@ from tessera.llm.substring_dedup import substring_dedup
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Ids of dropped copies are broadcast up to this number (8 bytes each), else joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Near copies are documents whose sets of five words share this many percent or more.
+NEAR_PERCENT = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = stored(near_dedup(docs).where("not kept").select("doc_id").distinct(), "copies")
+    dropped = stored(near_dedup(docs, percent=NEAR_PERCENT).where("not kept").select("doc_id").distinct(), "copies")
     if dropped.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         dropped = F.broadcast(dropped)
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)

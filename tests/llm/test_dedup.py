@@ -113,6 +113,18 @@ def test_near_dedup_brute_force(spark, copies):
     assert got == {n: (len(sets[n]), c, c == n) for n, c in want.items()}
 
 
+def test_near_dedup_at_the_stage_line(spark, copies):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i * 3, t, "en", "s", 0) for i, t in enumerate(copies)], "doc_id long, text string, lang string, source string, n_chars long")
+    sets = {i * 3: shingles(t) for i, t in enumerate(copies)}
+    likeness = {(a, b): 100 * len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b and sets[a]}
+    kept = {k: {n for n, c in reachable(sets, [p for p, x in likeness.items() if x >= k]).items() if n == c} for k in (80, 85)}
+    assert kept[80] < kept[85]
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == kept[80]
+    assert {r.doc_id for r in near_dedup(docs).where("kept").collect()} == kept[85]
+
+
 def test_near_dedup_odd_ids(spark):
     text = " ".join(f"t{i}" for i in range(30))
     rows = [(5, text), (5, text), (5, "quite another text of more than five words"), (2, "quite another text of more than five words"), (None, text), (9, text)]
