@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -159,20 +160,18 @@ def leaves(root: Node) -> list[Node]:
 def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: (matched nodes, pairs of leaves) of two nodes with one label.
 
-    Where two lists of children are too long for the table, they are aligned from both ends.
+    Two lists of children that are too long for one table are matched in linear memory, to the same score.
     """
     x, y = a.children, b.children
     if not x or not y:
         return 1, [(a, b)] if a.text is not None and b.text is not None else []
     pairs: list[tuple[Node, Node]] = []
     if len(x) * len(y) > CELLS:
-        k = min(len(x), len(y))
-        front = next((i for i in range(k) if x[i].label != y[i].label), k)
-        back = next((i for i in range(k - front) if x[-1 - i].label != y[-1 - i].label), k - front)
         score = 1
-        for p, q in [*zip(x[:front], y[:front], strict=True), *zip(x[len(x) - back :], y[len(y) - back :], strict=True)]:
-            s, found = match(p, q)
-            score, pairs = score + s, pairs + found
+        for p, q in _long_match(x, y):
+            s, found = _one(p, q)
+            score += s
+            pairs += found
         return score, pairs
     own: dict[tuple[int, int], tuple[int, list]] = {}
     table = [[0] * (len(y) + 1)]
@@ -181,11 +180,7 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
         for j, q in enumerate(y):
             best = max(above[j + 1], row[j])
             if p.label == q.label:
-                if p.text is not None and q.text is not None:
-                    got = (2 if p.text == q.text else 1), [(p, q)]
-                else:
-                    got = match(p, q)
-                own[i, j] = got
+                own[i, j] = got = _one(p, q)
                 best = max(best, above[j] + got[0])
             row.append(best)
         table.append(row)
@@ -202,6 +197,102 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     return 1 + table[-1][-1], pairs
 
 
+def _one(p: Node, q: Node) -> tuple[int, list[tuple[Node, Node]]]:
+    """What two children of one label add to a match."""
+    if p.text is not None and q.text is not None:
+        return (2 if p.text == q.text else 1), [(p, q)]
+    return match(p, q)
+
+
+def _same(p: Node, q: Node) -> bool:
+    todo = [(p, q)]
+    while todo:
+        a, b = todo.pop()
+        if a.label != b.label or a.text != b.text or len(a.children) != len(b.children):
+            return False
+        todo += zip(a.children, b.children, strict=True)
+    return True
+
+
+def _chain(node: Node) -> tuple[tuple[str, ...] | None, str | None]:
+    """Labels down to the only leaf below a node, and its text; (None, None) where there is not just one."""
+    labels = []
+    while node.text is None:
+        if len(node.children) != 1:
+            return None, None
+        labels.append(node.label)
+        node = node.children[0]
+    return tuple(labels), node.text
+
+
+def _long_match(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
+    """Pairs of a best match of two long lists of children, by Hirschberg's division of the table that match() fills.
+
+    Equal parts at both ends are a best match of those parts. Scores of chains to one leaf are made a row at a time.
+    """
+    k = min(len(x), len(y))
+    front = next((i for i in range(k) if not _same(x[i], y[i])), k)
+    back = next((i for i in range(k - front) if not _same(x[-1 - i], y[-1 - i])), k - front)
+    pairs = [*zip(x[:front], y[:front], strict=True), *zip(x[len(x) - back :], y[len(y) - back :], strict=True)]
+    x, y = x[front : len(x) - back], y[front : len(y) - back]
+    codes: dict = {}
+
+    def coded(nodes: list[Node]) -> np.ndarray:
+        rows = []
+        for node in nodes:
+            labels, text = _chain(node)
+            shape = -1 if labels is None else codes.setdefault(("shape", labels), len(codes))
+            rows.append((codes.setdefault(("label", node.label), len(codes)), shape, codes.setdefault(("text", text), len(codes)), len(labels or ())))
+        return np.array(rows, np.int64).reshape(-1, 4)
+
+    cx, cy = coded(x), coded(y)
+
+    def gains(i: int, j0: int, j1: int) -> np.ndarray:
+        label, shape, text, depth = cx[i]
+        those = cy[j0:j1]
+        chains = (those[:, 1] == shape) & (shape >= 0)
+        out = np.where(chains, depth + 1 + (those[:, 2] == text), 0)
+        for j in np.flatnonzero((those[:, 0] == label) & ~chains).tolist():
+            out[j] = _one(x[i], y[j0 + j])[0]
+        return out
+
+    def row_after(above: np.ndarray, gain: np.ndarray) -> np.ndarray:
+        row = above.copy()
+        np.maximum(row[1:], above[:-1] + gain, out=row[1:])
+        return np.maximum.accumulate(row)
+
+    todo = [(0, len(x), 0, len(y))]
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        if i0 == i1 or j0 == j1:
+            continue
+        if i1 - i0 > 1 and (i1 - i0) * (j1 - j0) > CELLS:
+            middle = (i0 + i1) // 2
+            down, up = np.zeros(j1 - j0 + 1, np.int64), np.zeros(j1 - j0 + 1, np.int64)
+            for i in range(i0, middle):
+                down = row_after(down, gains(i, j0, j1))
+            for i in reversed(range(middle, i1)):
+                up = row_after(up, gains(i, j0, j1)[::-1])
+            cut = j0 + int(np.argmax(down + up[::-1]))
+            todo += [(i0, middle, j0, cut), (middle, i1, cut, j1)]
+            continue
+        table, gain = [np.zeros(j1 - j0 + 1, np.int64)], []
+        for i in range(i0, i1):
+            gain.append(gains(i, j0, j1))
+            table.append(row_after(table[-1], gain[-1]))
+        i, j = i1 - i0, j1 - j0
+        while i and j:
+            g = gain[i - 1][j - 1]
+            if g and table[i][j] == table[i - 1][j - 1] + g:
+                pairs.append((x[i0 + i - 1], y[j0 + j - 1]))
+                i, j = i - 1, j - 1
+            elif table[i][j] == table[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+    return pairs
+
+
 class Sample:
     """A sample page of a host and which of its leaves are template."""
 

@@ -43,6 +43,29 @@ def test_tree_matching_finds_the_same_slots():
     assert ("Same", "Same") in [(p.text, q.text) for p, q in pairs] and len(pairs) == 2
 
 
+def test_long_lists_are_matched_as_short_ones(monkeypatch):
+    import random
+
+    from tessera.llm import html_text
+
+    random.seed(4)
+
+    def page(n, name):
+        parts = ["<p>{t}</p>", "<h2>{t}</h2>", "<div><p>{t}</p><p>more</p></div>", "<ul><li>{t}</li></ul>", "{t}<hr>"]
+        return parsed("<body><p>same</p>" + "".join(random.choice(parts).format(t=random.choice(["same", f"{name}{i}"])) for i in range(n)) + "<p>end</p></body>")
+
+    for n, m in ((0, 9), (1, 30), (25, 40), (40, 25)):
+        a, b = page(n, "x"), page(m, "y")
+        want = html_text.match(a, b)
+        monkeypatch.setattr(html_text, "CELLS", 20)
+        got = html_text.match(a, b)
+        monkeypatch.undo()
+        assert got[0] == want[0] and len({id(p) for p, _ in got[1]}) == len({id(q) for _, q in got[1]}) == len(got[1])
+    one = parsed("<body>" + "".join(f"<p>a{i}</p>" for i in range(1000)) + "<p>Call us now</p><p>a</p></body>")
+    two = parsed("<body>" + "".join(f"<p>b{i}</p>" for i in range(300)) + "<p>Call us now</p><p>b</p></body>")
+    assert ("Call us now", "Call us now") in [(p.text, q.text) for p, q in html_text.match(one, two)[1]]
+
+
 def test_template_is_what_stays(spark):
     pages = [(i, f"http://h.example/{i}", f"<body><div>Welcome to us</div><div><p>Story {i} of its own</p></div><div>Call us now</div></body>") for i in range(30)]
     pages += [(100, None, None), (101, "x", ""), (102, "http://other/", "<p>alone</p>"), (102, "http://other/", "<p>alone</p>")]
