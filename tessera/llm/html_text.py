@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction.
 
 Pages become small trees: containers, and blocks of text as leaves. A host's pages are aligned with a few sample pages
-of the host by simple tree matching (the largest order-preserving match of equal labels, children by dynamic
+of the host, and with a few of their own layout (the set of their label paths), by simple tree matching (the largest order-preserving match of equal labels, children by dynamic
 programming). Over all pages of the host it is counted how often each leaf of a sample is met and how often with the
 same text; leaves that stay the same on nearly all pages are the template, slots that vary are content. A page keeps
 the leaves of its article that are neither template nor in a part that is marked as a menu, header, footer, sidebar,
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +43,13 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S)
 MARK = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 NAME = re.compile(r"[a-z]+")
-SAMPLES = 2
+DIGITS = re.compile(r"[0-9]+")
 LEAST_PAGES, LEAST_SHARE = 10, 0.9
 NEARLY = 0.6
 #: Sample pages are kept by every worker up to this total size, else joined by host.
 BROADCAST_BYTES = 32 << 20
 CELLS = 1 << 18
+COUNTS = ["host", "part", "sample", "leaf", "met", "same"]
 
 
 class Node:
@@ -157,6 +159,19 @@ def leaves(root: Node) -> list[Node]:
     return out
 
 
+def layout(root: Node) -> str:
+    """A hash of the page's label paths, whatever their number and whatever numbers are in the labels."""
+    paths, todo = set(), [(root, 0)]
+    while todo:
+        node, path = todo.pop()
+        for c in node.children:
+            own = zlib.crc32(DIGITS.sub("0", f"/{c.label}").encode("utf-8", "replace"), path)
+            paths.add(own)
+            todo.append((c, own))
+    whole = np.array(sorted(paths), np.uint32).tobytes()
+    return f"{zlib.crc32(whole):08x}{zlib.adler32(whole):08x}{len(paths):x}"
+
+
 def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: (matched nodes, pairs of leaves) of two nodes with one label.
 
@@ -294,22 +309,28 @@ def _long_match(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
 
 
 class Sample:
-    """A sample page of a host and which of its leaves are template."""
+    """A sample page of a host or layout and which of its leaves are template."""
 
-    def __init__(self, page: str, template: list[int] | None = None) -> None:
-        self.root = parsed(page)
+    def __init__(self, page: str, template: list[int] | None = None, root: Node | None = None) -> None:
+        self.root = root or parsed(page)
         leaves(self.root)
         self.template = set(template or ())
 
 
-def aligned(root: Node, samples: list[Sample]) -> list[tuple[int, list[tuple[Node, Node]]]]:
+def aligned(root: Node, samples: list[Sample], every: bool = False, known: dict | None = None) -> list[tuple[int, list[tuple[Node, Node]]]]:
     """(number, pairs of its leaves and the page's) of the samples that fit the page nearly as well as the best one.
 
-    A sample page fits itself best, so it is the others of its layout that tell its template.
+    A sample page fits itself best, so it is the others of its layout that tell its template. Samples of the page's own
+    layout are all taken (``every``). ``known`` holds matches of this page by sample tree.
     """
-    found = [match(s.root, root) for s in samples]
-    best = max(score for score, _ in found)
-    return [(k, pairs) for k, (score, pairs) in enumerate(found) if score >= NEARLY * best]
+    known = {} if known is None else known
+    found = []
+    for s in samples:
+        if id(s.root) not in known:
+            known[id(s.root)] = match(s.root, root)
+        found.append(known[id(s.root)])
+    best = max((score for score, _ in found), default=0)
+    return [(k, pairs) for k, (score, pairs) in enumerate(found) if every or score >= NEARLY * best]
 
 
 def _text_size(node: Node) -> int:
@@ -356,21 +377,34 @@ def main_text(root: Node, template: set[int]) -> str:
 
 
 def _lookup(shared):
-    """Samples of a row's host: from the shared table, or from the row itself."""
-    cache: dict[str, list[Sample]] = {}
+    """Samples of a part of a row's host, "" or a layout: from the shared table, or from the row itself."""
+    cache: dict[tuple[str, str], list[Sample]] = {}
+    roots: dict[str, Node] = {}
 
-    def get(host: str, pages: list[str] | None, templates: list[list[int]] | None) -> list[Sample]:
-        if host not in cache:
+    def get(host: str, part: str, pages: list[str] | None, templates: list[list[int]] | None) -> list[Sample]:
+        if (host, part) not in cache:
             if len(cache) > 256:
                 cache.clear()
+                roots.clear()
             if shared is not None:
-                pages, templates = shared.value.get(host, ([], []))
-            cache[host] = [Sample(p, t) for p, t in zip(pages or [], templates or [[]] * len(pages or []), strict=True)]
-        return cache[host]
+                pages, templates = shared.value.get((host, part), ([], []))
+            pages = pages or []
+            for p in pages:
+                if p not in roots:
+                    roots[p] = parsed(p)
+            cache[host, part] = [Sample(p, t, roots[p]) for p, t in zip(pages, templates or [[]] * len(pages), strict=True)]
+        return cache[host, part]
 
     return get
 
 
+def _layouts(batches):
+    for batch in batches:
+        parts = pa.array([layout(parsed(x or "")) for x in batch.column("html").to_pylist()], pa.string())
+        kept = [c for c in batch.schema.names if c != "html" or "page_id" in batch.schema.names]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), parts], [*kept, "part"])
+
+
 def _rows(batch, *names):
     columns = [batch.column(n).to_pylist() if n in batch.schema.names else [None] * batch.num_rows for n in names]
     return zip(*columns, strict=True)
@@ -379,19 +413,21 @@ def _rows(batch, *names):
 def _count(shared):
     def run(batches):
         get = _lookup(shared)
-        counts: dict[tuple[str, int, int], list[int]] = {}
+        counts: dict[tuple[str, str, int, int], list[int]] = {}
         for batch in batches:
-            for host, page, pages in _rows(batch, "host", "html", "samples"):
-                samples = get(host, pages, None)
-                if not samples or not page:
+            for host, page, pages, own in _rows(batch, "host", "html", "samples", "own_samples"):
+                if not page:
                     continue
-                for k, pairs in aligned(parsed(page), samples):
-                    for p, q in pairs:
-                        entry = counts.setdefault((host, k, p.n), [0, 0])
-                        entry[0] += 1
-                        entry[1] += p.text == q.text
-        rows = [(h, s, n, a, e) for (h, s, n), (a, e) in counts.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["host", "sample", "leaf", "met", "same"])
+                root, known = parsed(page), {}
+                for part, some in (("", pages), (layout(root), own)):
+                    for k, pairs in aligned(root, get(host, part, some, None), bool(part), known):
+                        for p, q in pairs:
+                            entry = counts.setdefault((host, part, k, p.n), [0, 0])
+                            entry[0] += 1
+                            entry[1] += p.text == q.text
+        rows = [(*key, *entry) for key, entry in counts.items()]
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], COUNTS)
 
     return run
 
@@ -401,12 +437,14 @@ def _extract(shared):
         get = _lookup(shared)
         for batch in batches:
             out = []
-            for host, page, pages, templates in _rows(batch, "host", "html", "samples", "templates"):
+            for host, page, *given in _rows(batch, "host", "html", "samples", "templates", "own_samples", "own_templates"):
                 root = parsed(page or "")
                 leaves(root)
-                samples, template = get(host, pages, templates), set()
-                if any(s.template for s in samples):
-                    template = {q.n for k, pairs in aligned(root, samples) for p, q in pairs if p.n in samples[k].template and p.text == q.text}
+                template, known = set(), {}
+                for part, pages, templates in (("", *given[:2]), (layout(root), *given[2:])):
+                    samples = get(host, part, pages, templates)
+                    if any(s.template for s in samples):
+                        template |= {q.n for k, pairs in aligned(root, samples, bool(part), known) for p, q in pairs if p.n in samples[k].template and p.text == q.text}
                 out.append(main_text(root, template))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
@@ -418,31 +456,45 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     A null or empty page has the text "". Pages without a host form one group. A leaf is template where at least
     LEAST_PAGES pages met it and LEAST_SHARE of them had its text. Repeated rows each get a row; ids are only
-    carried. Other columns are ignored; an empty table gives an empty table. A host of any size costs a worker its
-    sample pages and one small count a leaf.
+    carried. Other columns are ignored; an empty table gives an empty table. Leaves are counted
+    over all pages of the host against its two samples, and over all pages of each layout of LEAST_PAGES pages or more
+    against that layout's two. A host of any size costs a worker its sample pages and one small count a leaf.
     """
     spark = pages.sparkSession
     kind = pages.schema[id_col].dataType.simpleString()
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z][\w+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
     # The samples are the pages of smallest hash: picked by hash alone, so that only they are carried with their html.
-    ranked = rows.where("length(html) > 0").select("host", F.xxhash64("html").alias("h"))
-    lowest = ranked.groupBy("host").agg(F.min("h").alias("h1"))
-    second = ranked.join(lowest, "host").where("h > h1").groupBy("host").agg(F.min("h").alias("h"))
-    chosen = stored(lowest.select("host", F.col("h1").alias("h")).unionByName(second).select("host", "h"), "chosen")
-    samples = rows.where("length(html) > 0").select("host", F.xxhash64("html").alias("h"), "html").join(chosen, ["host", "h"]).groupBy("host", "h").agg(F.first("html").alias("html"))
-    samples = stored(samples.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("h", "html"))).alias("s")).select("host", F.col("s.html").alias("samples")), "samples")
+    full = rows.where("length(html) > 0")
+    ranked = full.select("host", F.xxhash64("html").alias("h"), "html").mapInArrow(_layouts, "host string, h long, part string")
+    ranked = stored(ranked.groupBy("host", "part", "h").agg(F.count("*").alias("n")), "layouts")
+    ranked = ranked.select("host", F.explode(F.array(F.lit(""), "part")).alias("part"), "h", "n")
+    lowest = ranked.groupBy("host", "part").agg(F.min("h").alias("h1"), F.sum("n").alias("n")).where((F.col("part") == "") | (F.col("n") >= LEAST_PAGES))
+    lowest = stored(lowest, "lowest")
+    second = ranked.join(lowest.drop("n"), ["host", "part"]).where("h > h1").groupBy("host", "part").agg(F.min("h").alias("h"))
+    chosen = stored(lowest.select("host", "part", F.col("h1").alias("h")).unionByName(second), "chosen")
+    htmls = full.select("host", F.xxhash64("html").alias("h"), "html").join(chosen.select("host", "h").distinct(), ["host", "h"]).groupBy("host", "h").agg(F.first("html").alias("html"))
+    samples = chosen.join(htmls, ["host", "h"]).groupBy("host", "part").agg(F.array_sort(F.collect_list(F.struct("h", "html"))).alias("s"))
+    samples = stored(samples.select("host", "part", F.col("s.html").alias("samples")), "samples")
     size = samples.agg(F.sum(F.length(F.concat_ws("", "samples")))).first()[0] or 0
     small = size <= BROADCAST_BYTES
-    shared = spark.sparkContext.broadcast({r["host"]: (r["samples"], [[]] * len(r["samples"])) for r in samples.collect()}) if small else None
-    counted = (rows if small else rows.join(samples, "host", "left")).mapInArrow(_count(shared), "host string, sample int, leaf int, met long, same long")
-    counted = counted.groupBy("host", "sample", "leaf").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
-    template = counted.where((F.col("met") >= LEAST_PAGES) & (F.col("same") >= LEAST_SHARE * F.col("met"))).groupBy("host", "sample").agg(F.collect_list("leaf").alias("leaves"))
-    template = template.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("sample", "leaves"))).alias("m"))
-    known = samples.join(template, "host", "left").select("host", "samples", F.transform(F.sequence(F.lit(0), F.size("samples") - 1), lambda k: F.coalesce(F.try_element_at("m", k), F.array().cast("array<int>"))).alias("templates"))
+
+    def joined(known: DataFrame) -> DataFrame:
+        """Rows with the samples of their host and of their layout."""
+        columns = [c for c in known.columns if c not in ("host", "part")]
+        own = known.where("part <> ''").select("host", "part", *(F.col(c).alias(f"own_{c}") for c in columns))
+        parted = rows.mapInArrow(_layouts, f"page_id {kind}, url string, html string, host string, part string")
+        return parted.join(known.where("part = ''").drop("part"), "host", "left").join(own, ["host", "part"], "left")
+
+    shared = spark.sparkContext.broadcast({(r["host"], r["part"]): (r["samples"], [[]] * len(r["samples"])) for r in samples.collect()}) if small else None
+    counted = (rows if small else joined(samples)).mapInArrow(_count(shared), "host string, part string, sample int, leaf int, met long, same long")
+    counted = counted.groupBy("host", "part", "sample", "leaf").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
+    template = counted.where((F.col("met") >= LEAST_PAGES) & (F.col("same") >= LEAST_SHARE * F.col("met"))).groupBy("host", "part", "sample").agg(F.collect_list("leaf").alias("leaves"))
+    template = template.groupBy("host", "part").agg(F.map_from_entries(F.collect_list(F.struct("sample", "leaves"))).alias("m"))
+    known = samples.join(template, ["host", "part"], "left").select("host", "part", "samples", F.transform(F.sequence(F.lit(0), F.size("samples") - 1), lambda k: F.coalesce(F.try_element_at("m", k), F.array().cast("array<int>"))).alias("templates"))
     known = stored(known, "templates")
-    shared = spark.sparkContext.broadcast({r["host"]: (r["samples"], r["templates"]) for r in known.collect()}) if small else None
-    out = (rows if small else rows.join(known, "host", "left")).mapInArrow(_extract(shared), f"page_id {kind}, url string, text string")
+    shared = spark.sparkContext.broadcast({(r["host"], r["part"]): (r["samples"], r["templates"]) for r in known.collect()}) if small else None
+    out = (rows if small else joined(known)).mapInArrow(_extract(shared), f"page_id {kind}, url string, text string")
     return out.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))
 
 

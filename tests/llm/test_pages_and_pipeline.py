@@ -3,6 +3,7 @@ import html
 import re
 
 import numpy as np
+import pytest
 
 from tessera.llm import warc
 from tessera.llm.html_text import Sample, aligned, leaves, main_text, page_text, parsed
@@ -75,6 +76,17 @@ def test_template_is_what_stays(spark):
     assert page_text(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 1 << 25])
+def test_every_layout_of_a_host_has_its_template(spark, monkeypatch, most):
+    from tessera.llm import html_text
+
+    monkeypatch.setattr(html_text, "BROADCAST_BYTES", most)
+    shapes = ["<div>Top {k}</div><div><p>{t}</p></div><div>End {k}</div>", "<table><tr><td>Top {k}</td><td><p>{t}</p></td></tr></table><h4>End {k}</h4>", "<h2>Top {k}</h2><ul><li>{t}</li></ul><pre>End {k}</pre>", "<section><h3>Top {k}</h3></section><blockquote>{t}</blockquote><address>End {k}</address>"]
+    pages = [(100 * k + i, f"http://h.example/{k}/{i}", "<body>" + shape.format(k=k, t=f"Story {k} {i} of its own") + "</body>") for k, shape in enumerate(shapes) for i in range(15)]
+    got = page_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {100 * k + i: f"Story {k} {i} of its own" for k in range(4) for i in range(15)}
+
+
 def test_large_tables_join_samples_by_host(spark, monkeypatch):
     from tessera.llm import html_text
 
