@@ -49,7 +49,7 @@ NEARLY = 0.6
 #: Sample pages are kept by every worker up to this total size, else joined by host.
 BROADCAST_BYTES = 32 << 20
 CELLS = 1 << 18
-COUNTS = ["host", "part", "sample", "leaf", "met", "same"]
+COUNTS = ["host", "part", "sample", "leaf", "met", "same", "low", "high"]
 
 
 class Node:
@@ -415,18 +415,19 @@ def _count(shared):
         get = _lookup(shared)
         counts: dict[tuple[str, str, int, int], list[int]] = {}
         for batch in batches:
-            for host, page, pages, own in _rows(batch, "host", "html", "samples", "own_samples"):
+            for host, page, h, pages, own in _rows(batch, "host", "html", "h", "samples", "own_samples"):
                 if not page:
                     continue
                 root, known = parsed(page), {}
                 for part, some in (("", pages), (layout(root), own)):
                     for k, pairs in aligned(root, get(host, part, some, None), bool(part), known):
                         for p, q in pairs:
-                            entry = counts.setdefault((host, part, k, p.n), [0, 0])
+                            entry = counts.setdefault((host, part, k, p.n), [0, 0, h, h])
                             entry[0] += 1
                             entry[1] += p.text == q.text
+                            entry[2:] = min(entry[2], h), max(entry[3], h)
         rows = [(*key, *entry) for key, entry in counts.items()]
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], COUNTS)
 
     return run
@@ -454,11 +455,11 @@ def _extract(shared):
 def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: ``page_id``, ``url``, ``text``, ``n_chars``.
 
-    A null or empty page has the text "". Pages without a host form one group. A leaf is template where at least
-    LEAST_PAGES pages met it and LEAST_SHARE of them had its text. Repeated rows each get a row; ids are only
-    carried. Other columns are ignored; an empty table gives an empty table. Leaves are counted
-    over all pages of the host against its two samples, and over all pages of each layout of LEAST_PAGES pages or more
-    against that layout's two. A host of any size costs a worker its sample pages and one small count a leaf.
+    A null or empty page has the text "". Pages without a host form one group. Leaves are counted over all pages of the
+    host against its two samples, and over all pages of each layout against that layout's two. A leaf is template where
+    LEAST_PAGES pages, or all where there are fewer, met it, two or more of them differ, and LEAST_SHARE of them had its
+    text. Repeated rows each get a row; ids are only carried. Other columns are ignored; an empty table gives an empty
+    table. A host of any size costs a worker its sample pages and one small count a leaf.
     """
     spark = pages.sparkSession
     kind = pages.schema[id_col].dataType.simpleString()
@@ -469,9 +470,9 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     ranked = full.select("host", F.xxhash64("html").alias("h"), "html").mapInArrow(_layouts, "host string, h long, part string")
     ranked = stored(ranked.groupBy("host", "part", "h").agg(F.count("*").alias("n")), "layouts")
     ranked = ranked.select("host", F.explode(F.array(F.lit(""), "part")).alias("part"), "h", "n")
-    lowest = ranked.groupBy("host", "part").agg(F.min("h").alias("h1"), F.sum("n").alias("n")).where((F.col("part") == "") | (F.col("n") >= LEAST_PAGES))
+    lowest = ranked.groupBy("host", "part").agg(F.min("h").alias("h1"), F.max("h").alias("last"), F.sum("n").alias("n")).where("part = '' or h1 < last")
     lowest = stored(lowest, "lowest")
-    second = ranked.join(lowest.drop("n"), ["host", "part"]).where("h > h1").groupBy("host", "part").agg(F.min("h").alias("h"))
+    second = ranked.join(lowest.select("host", "part", "h1"), ["host", "part"]).where("h > h1").groupBy("host", "part").agg(F.min("h").alias("h"))
     chosen = stored(lowest.select("host", "part", F.col("h1").alias("h")).unionByName(second), "chosen")
     htmls = full.select("host", F.xxhash64("html").alias("h"), "html").join(chosen.select("host", "h").distinct(), ["host", "h"]).groupBy("host", "h").agg(F.first("html").alias("html"))
     samples = chosen.join(htmls, ["host", "h"]).groupBy("host", "part").agg(F.array_sort(F.collect_list(F.struct("h", "html"))).alias("s"))
@@ -487,9 +488,10 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         return parted.join(known.where("part = ''").drop("part"), "host", "left").join(own, ["host", "part"], "left")
 
     shared = spark.sparkContext.broadcast({(r["host"], r["part"]): (r["samples"], [[]] * len(r["samples"])) for r in samples.collect()}) if small else None
-    counted = (rows if small else joined(samples)).mapInArrow(_count(shared), "host string, part string, sample int, leaf int, met long, same long")
-    counted = counted.groupBy("host", "part", "sample", "leaf").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
-    template = counted.where((F.col("met") >= LEAST_PAGES) & (F.col("same") >= LEAST_SHARE * F.col("met"))).groupBy("host", "part", "sample").agg(F.collect_list("leaf").alias("leaves"))
+    counted = (rows if small else joined(samples)).withColumn("h", F.xxhash64("html")).mapInArrow(_count(shared), "host string, part string, sample int, leaf int, met long, same long, low long, high long")
+    counted = counted.groupBy("host", "part", "sample", "leaf").agg(F.sum("met").alias("met"), F.sum("same").alias("same"), F.min("low").alias("low"), F.max("high").alias("high"))
+    counted = counted.where((F.col("same") >= LEAST_SHARE * F.col("met")) & (F.col("low") < F.col("high"))).join(lowest.select("host", "part", "n"), ["host", "part"])
+    template = counted.where(F.col("met") >= F.least(F.lit(LEAST_PAGES), F.col("n"))).groupBy("host", "part", "sample").agg(F.collect_list("leaf").alias("leaves"))
     template = template.groupBy("host", "part").agg(F.map_from_entries(F.collect_list(F.struct("sample", "leaves"))).alias("m"))
     known = samples.join(template, ["host", "part"], "left").select("host", "part", "samples", F.transform(F.sequence(F.lit(0), F.size("samples") - 1), lambda k: F.coalesce(F.try_element_at("m", k), F.array().cast("array<int>"))).alias("templates"))
     known = stored(known, "templates")

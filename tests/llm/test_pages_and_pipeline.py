@@ -87,6 +87,14 @@ def test_every_layout_of_a_host_has_its_template(spark, monkeypatch, most):
     assert {r.page_id: r.text for r in got} == {100 * k + i: f"Story {k} {i} of its own" for k in range(4) for i in range(15)}
 
 
+def test_small_hosts_have_a_template(spark):
+    page = "<body><div>Welcome to us</div><div><p>Story {i} of its own</p></div><div>Call us now</div></body>"
+    pages = [(10 * n + i, f"http://h{n}.example/{i}", page.format(i=i)) for n in (2, 3, 9) for i in range(n)]
+    pages += [(200 + i, "http://same.example/", page.format(i=0)) for i in range(3)]  # one page, repeated, tells nothing
+    got = {r.page_id: r.text for r in page_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Story {i % 10} of its own" if i < 200 else "Welcome to us Story 0 of its own Call us now" for i, _, _ in pages}
+
+
 def test_large_tables_join_samples_by_host(spark, monkeypatch):
     from tessera.llm import html_text
 
