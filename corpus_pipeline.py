@@ -54,7 +54,8 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_copies), ("substring dedup", repeated_passages), ("benchmark decontamination", benchmarks), ("SentencePiece encoding and decoding", pieces)]
-#: The classifier and the piece agenda have no SQL form; the tests hold run() against a brute-force version.
+#: The classifier and the piece agenda have no SQL form. The tests call the stages, not run(): near-dedup and substring
+#: dedup are held against brute force, decontamination by row counts only.
 ORACLE_SQL = None
 
 
