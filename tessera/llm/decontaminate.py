@@ -1,118 +1,147 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
-Of the hashes of GRAM-word runs, the smallest of every SPAN consecutive ones is kept; SPAN + GRAM - 1 is the window,
-so any shared window has a kept hash at the same place in both texts and none is missed. Kept hashes of the training
-texts meet those of the items in a join; a hit names a diagonal (place in the text less place in the item), along
-which the two word arrays are compared, so that hits extend to maximal equal runs and all runs of a window or more are
-exact. Equal training texts are worked on once: results belong to a text, not to a row.
+A gram is GRAM words in a row; of every SPAN consecutive grams the smallest hash is kept, so any two equal runs of
+SPAN + GRAM - 1 words, the window, have kept one value and none is missed. Three passes, of which only the first
+looks into all texts:
+1. each text's kept values are made in generated code, row by row as its words are exploded, and met with the items';
+   what comes out are the keys of texts that share a value. A broadcast of the items' values needs no shuffle.
+2. in those texts a hit is extended to the whole windows around it: the windows whose smallest gram is shared are
+   looked up by the hash of all their words and then compared word by word. Equal texts are worked on once.
+3. every row gets the result of its text; overlapping windows make one hit span.
+Items shorter than a window are looked up as wholes, all lengths in one pass.
 """
 
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import stored
+
 WINDOW, GRAM = 13, 6
 SPAN = WINDOW - GRAM + 1
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_EITHER_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Item fingerprints are broadcast up to this number of rows (40 bytes each), else joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: What stands between words of either case. Words are what a split leaves: Spark's regexp_extract_all and regexp_count
+#: copy the text for every match.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+#: Sides are broadcast up to these numbers of rows: kept values and text keys (16 bytes each), item windows with their
+#: words (about 200 bytes), texts with hits (whose hit places are counted as rows too). Beyond, joins shuffle.
+BROADCAST_KEYS, BROADCAST_WINDOWS, BROADCAST_HITS = 500_000, 100_000, 1_000_000
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(WORD), F.lit(0))
+    # lower() folds more than A-Z, but not where every character is one byte.
+    ascii_ = F.octet_length(text) == F.char_length(text)
+    folded = F.when(ascii_, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+    return F.array_remove(F.split(folded, f"{BETWEEN}+"), "")
 
 
 def _keys(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), text).alias("k2")]
 
 
-def _run_hashes(df: DataFrame, length: int, name: str) -> DataFrame:
-    """Adds the hash of every run of ``length`` words of the word hashes ``h``."""
-    starts = F.sequence(F.lit(1), F.size("h") - length + 1)
-    return df.withColumn(name, F.when(F.size("h") >= length, F.transform(starts, lambda i: F.xxhash64(F.slice("h", i, length)))).otherwise(F.array().cast("array<bigint>")))
+def _gram(at: int) -> Column:
+    """A gram's hash of its words' hashes; each word counts by its place."""
+    return reduce(lambda x, k: x.bitwiseXOR(F.shiftleft(F.col(f"v{at + k}"), k)), range(1, GRAM), F.col(f"v{at}"))
+
+
+def _hashed(texts: DataFrame, *keep: str) -> DataFrame:
+    return texts.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
 
 
-def _fingerprints(df: DataFrame, *keep: str) -> DataFrame:
-    """(keep, place, value) of the kept hashes of each row's ``words``."""
-    hashed = _run_hashes(df.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h")), GRAM, "g").select(*keep, "g")
+def _windows(texts: DataFrame, *keep: str) -> DataFrame:
+    """(keep, at, n, value, whole) of every window of each row's ``words``: its smallest gram, the hash of its words.
+
+    There is no filter and no null here on purpose: Spark would push it below, and make the words once more for it.
+    """
+    at = F.explode(F.when(F.size("h") >= WINDOW, F.sequence(F.lit(0), F.size("h") - WINDOW)))
+    placed = _hashed(texts, *keep).select(*keep, "h", at.alias("at"))
+    valued = placed.select(*keep, "at", *(F.coalesce(F.get("h", F.col("at") + k), F.lit(0).cast("long")).alias(f"v{k}") for k in range(WINDOW)))
+    return valued.select(*keep, "at", F.lit(WINDOW).alias("n"), F.least(*(_gram(k) for k in range(SPAN))).alias("value"), F.xxhash64(*(f"v{k}" for k in range(WINDOW))).alias("whole"))
+
 
-    def place(i: Column) -> Column:
-        near = F.slice("g", i, SPAN)
-        return (i + F.array_position(near, F.array_min(near)) - 2).cast("int")
+def _short_runs(texts: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
+    """(keep, at, n, value, whole) of every run of as many words as a short item has."""
 
-    starts = F.sequence(F.lit(1), F.size("g") - SPAN + 1)
-    places = hashed.select(*keep, "g", F.when(F.size("g") >= SPAN, F.array_distinct(F.transform(starts, place))).otherwise(F.array().cast("array<int>")).alias("places"))
-    return places.select(*keep, F.explode(F.transform("places", lambda p: F.struct(p.alias("place"), F.get("g", p).alias("value")))).alias("x")).select(*keep, "x.place", "x.value")
 
+    def of(n: int) -> Column:
+        places = F.sequence(F.lit(0), F.size("h") - n)
+        return F.when(F.size("h") >= n, F.transform(places, lambda at: F.struct(at.alias("at"), F.lit(n).alias("n"), F.xxhash64(*(F.get("h", at + k) for k in range(n))).alias("whole"))))
 
-def _all_runs(df: DataFrame, length: int, *keep: str) -> DataFrame:
-    runs = _run_hashes(df.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h")), length, "g")
-    return runs.select(*keep, F.posexplode("g").alias("place", "value"))
+    each = [of(n) for n in lengths]
+    runs = _hashed(texts, *keep).select(*keep, "h", F.explode(F.array(*each)).alias("some")).select(*keep, F.inline("some"))
+    return runs.select(*keep, "at", "n", F.col("whole").alias("value"), "whole")
 
 
-def _equal_runs(words: Column, item: Column, shift: Column) -> Column:
-    """Maximal runs of at least a window, or of the whole of a shorter item, along one diagonal: (begin, end) in the text."""
-    low, high = F.greatest(F.lit(0), -shift), F.least(F.size(item), F.size(words) - shift)
-    differ = F.filter(F.sequence(low, high - 1), lambda j: F.get(words, j + shift) != F.get(item, j))
-    edges = F.concat(F.array(low - 1), differ, F.array(high))
-    least = F.least(F.size(item), F.lit(WINDOW))
-    runs = F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges)), lambda a, b: F.struct((a + 1 + shift).alias("begin"), (b - 1 + shift).alias("end")))
-    return F.filter(runs, lambda r: r["end"] - r["begin"] + 1 >= least)
+def _small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` to be broadcast if it was counted to be small, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per training row: ``doc_id``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``contaminated``
-    and ``hits``, the places of the hit words from 0.
+    and ``hits``, the places of the hit words from 0; then the columns named in ``keep``.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are folded. A window is 13 consecutive item words, or
     a whole item of 1 to 12; words inside any occurrence are hit. Contaminated means at least one hit word and at least
     a twentieth of all. Null and empty texts have no words. Rows may repeat and ids may be null or tied: every row gets
     its text's result. Items without an id or words have no windows; items with one id are one item. Empty tables on
-    either side are fine. Only the columns named in ``keep`` are passed on.
+    either side are fine. Only the columns named in ``keep`` are passed on, whatever their names; a kept column with
+    the name of a result is a ``ValueError``.
     """
+    if clash := {id_col, "n_words", "n_hit", "items", "contaminated", "hits"} & set(keep):
+        raise ValueError(f"kept columns clash with results: {sorted(clash)}")
+    names = [f"kept{i}" for i in range(len(keep))]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col), *keep, text.alias("the_text"))
-    texts = rows.select(*_keys(F.col("the_text")), "the_text").groupBy("k1", "k2").agg(F.first("the_text").alias("the_text"))
-    texts = texts.select("k1", "k2", _words(F.col("the_text")).alias("words"))
-
-    item_words = items.where(F.col(item_id_col).isNotNull()).select(F.col(item_id_col).cast("string").alias("item"), _words(F.coalesce(F.col(item_text_col).cast("string"), F.lit(""))).alias("words")).where(F.size("words") > 0)
-    item_words = item_words.groupBy("words").agg(F.collect_set("item").alias("ids")).select(F.xxhash64("words").alias("i1"), F.xxhash64(F.lit("second"), "words").alias("i2"), F.col("words").alias("item_words"), "ids")
-    marks = item_words.select("i1", "i2", F.col("item_words").alias("words"))
-    lengths = [r[0] for r in item_words.where(F.size("item_words") < WINDOW).select(F.size("item_words")).distinct().collect()]  # 12 at most
-
-    wanted = _fingerprints(marks, "i1", "i2").withColumnRenamed("place", "at")
-    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    few_items = item_words.agg(F.coalesce(F.sum(F.size("item_words")), F.lit(0))).first()[0] <= 5 * BROADCAST_ROWS
-    side = F.broadcast if small and few_items else (lambda x: x)
-    hits = _fingerprints(texts, "k1", "k2").join(side(wanted), "value").select("k1", "k2", "i1", "i2", (F.col("place") - F.col("at")).alias("shift"))
-    for length in sorted(lengths):
-        whole = _all_runs(marks.where(F.size("words") == length), length, "i1", "i2").withColumnRenamed("place", "at")
-        found = _all_runs(texts, length, "k1", "k2").join(side(whole), "value")
-        hits = hits.unionByName(found.select("k1", "k2", "i1", "i2", (F.col("place") - F.col("at")).alias("shift")))
-    hits = hits.distinct()
-
-    met = hits.join(side(item_words), ["i1", "i2"]).join(texts, ["k1", "k2"])
-    spans = met.select("k1", "k2", "ids", _equal_runs(F.col("words"), F.col("item_words"), F.col("shift")).alias("runs")).where(F.size("runs") > 0)
-    by_text = spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items"))
-    by_text = by_text.select("k1", "k2", "items", F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["begin"], r["end"]))))).alias("hits"))
-
-    counted = rows.select(F.col(id_col), *keep, *_keys(F.col("the_text")), F.regexp_count("the_text", F.lit(WORD_EITHER_CASE)).cast("long").alias("n_words"))
-    out = counted.join(by_text, ["k1", "k2"], "left")
+    rows = docs.select(F.col(id_col).alias("the_id"), *(F.col(c).alias(a) for c, a in zip(keep, names, strict=True)), text.alias("the_text"))
+
+    item_text = F.coalesce(F.col(item_text_col).cast("string"), F.lit(""))
+    wanted = items.where(F.col(item_id_col).isNotNull()).select(F.col(item_id_col).cast("string").alias("item"), _words(item_text).alias("words")).where(F.size("words") > 0)
+    lengths = [r[0] for r in wanted.select(F.size("words").alias("n")).where(F.col("n") < WINDOW).distinct().orderBy("n").collect()]  # 12 at most
+    runs_of = lambda texts, *keep: _windows(texts, *keep).unionByName(_short_runs(texts, lengths, *keep)) if lengths else _windows(texts, *keep)
+    with_words = wanted.select("item", "words", F.xxhash64("words").alias("w")).dropDuplicates(["item", "words"])
+    own = runs_of(with_words, "item", "words", "w").where((F.col("n") == WINDOW) | (F.col("n") == F.size("words")))
+    windows = own.select("item", "n", "value", "whole", F.array_join(F.slice("words", F.col("at") + 1, F.col("n")), " ").alias("run"))
+    windows = stored(windows.groupBy("n", "value", "whole", "run").agg(F.collect_set("item").alias("ids")), "windows")
+    values = windows.select("value").distinct()
+    few = values.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+
+    def shared(runs: DataFrame) -> DataFrame:
+        kept = runs.select("k1", "k2", "value")
+        # A text's kept values are its distinct smallest grams; where nothing is shuffled the join alone sees to that.
+        return (kept.join(F.broadcast(values), "value") if few else kept.distinct().join(values, "value")).select("k1", "k2").distinct()
+
+    texts = rows.select(*_keys(F.col("the_text")), _words(F.col("the_text")).alias("words"))
+    met = _small(stored(shared(runs_of(texts, "k1", "k2")), "met"), BROADCAST_KEYS)
+
+    hit_texts = rows.select(*_keys(F.col("the_text")), "the_text").join(met, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("the_text").alias("the_text"))
+    hit_texts = stored(hit_texts.select("k1", "k2", _words(F.col("the_text")).alias("words")), "shared")
+    spans = runs_of(hit_texts, "k1", "k2").join(_small(windows, BROADCAST_WINDOWS), ["n", "value", "whole"])
+    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "n", "run", "ids")).alias("runs")).join(hit_texts, ["k1", "k2"])
+    equal = F.filter("runs", lambda r: F.array_join(F.slice("words", r["at"] + 1, r["n"]), " ") == r["run"])
+    spans = spans.select("k1", "k2", equal.alias("runs"))
+    places = F.flatten(F.transform("runs", lambda r: F.sequence(r["at"], r["at"] + r["n"] - 1)))
+    by_text = spans.select("k1", "k2", F.array_sort(F.array_distinct(places)).alias("hits"), F.array_sort(F.array_distinct(F.flatten("runs.ids"))).alias("items"))
+    by_text = stored(by_text, "hits").where(F.size("hits") > 0)
+    size = by_text.agg(F.coalesce(F.sum(F.size("hits") + F.size("items") + 1), F.lit(0))).first()[0]
+
+    counted = rows.select("the_id", *names, *_keys(F.col("the_text")), F.size(F.array_remove(F.split("the_text", f"{BETWEEN}+"), "")).cast("long").alias("n_words"))
+    out = counted.join(F.broadcast(by_text) if size <= BROADCAST_HITS else by_text, ["k1", "k2"], "left")
     n_hit = F.coalesce(F.size("hits"), F.lit(0))
-    return out.select(F.col(id_col), *keep, "n_words", n_hit.cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), F.coalesce("hits", F.array().cast("array<int>")).alias("hits"))
+    results = ["n_words", n_hit.cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), F.coalesce("hits", F.array().cast("array<int>")).alias("hits")]
+    return out.select(F.col("the_id").alias(id_col), *results, *(F.col(a).alias(c) for c, a in zip(keep, names, strict=True)))
 
 
 def without_hits(text: Column, hits: Column) -> Column:
-    """The text without the hit words and what stands before each of them."""
-    word = WORD_EITHER_CASE.removesuffix("+")
-    apart = word.replace("[^", "[", 1)
-    pieces = F.regexp_extract_all(text, F.lit(f"{apart}*{word}+"), F.lit(0))
-    left = F.filter(pieces, lambda x, i: ~F.array_contains(hits, i))
-    return F.when(F.size(hits) == 0, text).otherwise(F.concat(F.array_join(left, ""), F.regexp_extract(text, f"({apart}*)$", 1)))
+    """The text without the hit words and what stands before each of them; ``hits`` are sorted places without repeats."""
+    pieces = F.split(text, f"(?<!{BETWEEN})(?<!^)(?={BETWEEN})")  # each ends with a word, but for what follows the last one
+    before, after = F.concat(F.array(F.lit(-1)), hits), F.concat(hits, F.array(F.size(pieces)))
+    gaps = F.filter(F.zip_with(before, after, lambda a, b: F.struct((a + 2).alias("first"), (b - a - 1).alias("n"))), lambda g: g["n"] > 0)
+    left = F.flatten(F.transform(gaps, lambda g: F.slice(pieces, g["first"], g["n"])))
+    return F.when(F.size(hits) == 0, text).otherwise(F.array_join(left, ""))
 
 
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -160,3 +160,36 @@ def test_fingerprints(spark):
     assert prints[5] == prints[3] and prints[-4] == prints[2] and prints[8] == prints[9]
     assert len(set(prints.values())) == len({canonical(x or "") for _, x in docs})
     assert document_fingerprints(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_contamination_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "x " + "q w e r t y u i o p a s d f", 5, "k", 7), (1, None, 6, "m", 8)], "the_id long, the_text string, k1 int, kept0 string, at int")
+    items = spark.createDataFrame([(3, "Q w e r t y u i o p a s d"), (4, "X")], "ids long, words string")
+    out = contamination(docs, items, "the_id", "the_text", "ids", "words", keep=("k1", "kept0", "at", "the_text"))
+    assert out.columns == ["the_id", "n_words", "n_hit", "items", "contaminated", "hits", "k1", "kept0", "at", "the_text"]
+    got = sorted(tuple(r) for r in out.collect())
+    assert got[0][:6] == (1, 0, 0, [], False, []) and got[0][6:] == (6, "m", 8, None)
+    assert got[1][:6] == (1, 15, 14, ["3", "4"], True, list(range(14))) and got[1][6:9] == (5, "k", 7)
+    with pytest.raises(ValueError):
+        contamination(docs.withColumnRenamed("k1", "hits"), items, "the_id", "the_text", "ids", "words", keep=("hits",))
+
+
+def test_contamination_by_shuffles(spark, monkeypatch):
+    from tessera.llm import decontaminate
+
+    for name in ("BROADCAST_KEYS", "BROADCAST_WINDOWS", "BROADCAST_HITS"):
+        monkeypatch.setattr(decontaminate, name, 0)
+    random.seed(13)
+    docs = [(i, " ".join(random.choice("abc") for _ in range(random.randint(0, 60)))) for i in range(40)]
+    items = [(i, docs[i][1][4:50]) for i in range(6)] + [(9, "a b c")]
+    out = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in out.collect()} == hits(docs, items)
+
+
+def test_a_very_long_text_is_searched_whole(spark):
+    item = " ".join(f"i{k}" for k in range(20))
+    docs = [(1, "w " * 60000 + item), (2, item + " w" * 60000)]
+    out = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {r.doc_id: (r.n_words, r.n_hit, r.hits[0], r.contaminated) for r in out.collect()} == {1: (60020, 20, 60000, False), 2: (60020, 20, 0, False)}
+    cut = out.withColumn("text", F.when(F.col("doc_id") == 1, F.lit(docs[0][1])).otherwise(F.lit(docs[1][1]))).select("doc_id", without_hits(F.col("text"), F.col("hits")).alias("t")).collect()
+    assert {r.doc_id: r.t for r in cut} == {1: ("w " * 60000).rstrip(), 2: " w" * 60000}
