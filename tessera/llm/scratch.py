@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from itertools import islice
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,6 +54,99 @@ def forget(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+HELD: dict[tuple[str, str], Any] = {}
+
+
+def resident(kind: str, key: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: one vocabulary or model at a time.
+
+    Workers outlive the stages of a job, so what another operator left is given back first.
+    """
+    if (kind, key) not in HELD:
+        vacate()
+        HELD[kind, key] = make()
+    return HELD[kind, key]
+
+
+def vacate() -> None:
+    """Gives a worker's memory back to the system; operators that keep nothing call it when a task begins."""
+    HELD.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+class Kept:
+    """What was made of short texts, up to ``most`` bytes: when it is full, the half that came first goes.
+
+    Texts of more than ``longest`` characters are not kept. Values are bytes, numbers, or pairs of bytes and text.
+    """
+
+    #: Bytes of an entry besides its characters and its value's, and of a pair.
+    ENTRY, PAIR = 180, 120
+
+    def __init__(self, most: int, longest: int = 64) -> None:
+        self.most, self.longest = most, longest
+        self.values: dict[str, Any] = {}
+        self.size = 0
+
+    def get(self, texts: list[str]) -> list[Any]:
+        """The value of each text, None where there is none."""
+        return list(map(self.values.get, texts))
+
+    def add(self, new: dict[str, Any]) -> None:
+        new = {k: v for k, v in new.items() if len(k) <= self.longest}
+        self.size += self.ENTRY * len(new) + sum(map(len, new))
+        some = next(iter(new.values()), 0)
+        if isinstance(some, bytes):
+            self.size += sum(map(len, new.values()))
+        elif isinstance(some, tuple):
+            self.size += sum(self.PAIR + len(a) + len(b) for a, b in new.values())
+        self.values |= new
+        while self.size > self.most:
+            n = len(self.values)
+            self.values = dict(islice(self.values.items(), (n + 1) // 2, None))
+            self.size = self.size * len(self.values) // n
+
+    def clear(self) -> None:
+        self.values, self.size = {}, 0
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+
+def chunks(column: pa.Array, most: int = 1 << 24):
+    """(first row, rows without nulls) of runs of rows of about ``most`` bytes, or of one longer row."""
+    column = column.cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    row = 0
+    while row < len(column):
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
+        yield row, column.slice(row, stop - row)
+        row = stop
+
+
+def gathered(codes: np.ndarray, parts: list[bytes], step: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(the 32-bit numbers of ``parts[c]`` for each code in turn, how many numbers each code has)."""
+    sizes = np.fromiter(map(len, parts), np.int32, len(parts)) >> 2
+    pool = np.frombuffer(b"".join(parts), np.uint32)
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+    n = sizes[codes]
+    out = np.empty(int(n.sum(dtype=np.int64)), np.uint32)
+    done = 0
+    for k in range(0, len(codes), step):  # in steps that stay in the processor's cache
+        m = n[k : k + step]
+        ends = np.cumsum(m, dtype=np.int64)
+        total = int(ends[-1])
+        at = np.repeat(starts[codes[k : k + step]] - ends + m, m)
+        at += np.arange(total)
+        out[done : done + total] = pool[at]
+        done += total
+    return out, n
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

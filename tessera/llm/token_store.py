@@ -18,23 +18,26 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import fresh_path, partitions, stored
+from .scratch import Kept, chunks, fresh_path, gathered, partitions, resident, stored
 
 MAGIC = b"TSR1"
 SHARD_IDS = 2 << 20
-CACHE_CUTS = 1_200_000
-JOINED = 4096
+#: What a worker keeps of the cuts of earlier texts.
+CACHE_BYTES = 192 << 20
+JOINED = 1024
 #: The byte-level alphabet's letter for a space.
 SPACE = "Ġ"
-OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Where a space does not stand alone between two other characters, and white space other than spaces and line ends.
+NOT_PLAIN = r"  | \n|\n |^ | $|[\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 END_ID = 0
+END = np.array([END_ID], np.uint32).tobytes()
 LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.int64)
-LOADED: dict[str, Tokens] = {}
 
 
 class Tokens:
@@ -52,54 +55,77 @@ class Tokens:
         self.cuttable = "ByteLevel(add_prefix_space=False" in before and "use_regex=True" in before and self.library.normalizer is None
         names = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
         self.leads = np.array([x.startswith(SPACE) for x in names])
-        self.cache: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        self.cache, self.heads = Kept(CACHE_BYTES), Kept(CACHE_BYTES >> 4)
+
+    def encoded(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all the whole texts in turn, each with ``end`` after it; number of ids of each)."""
+        if not self.cuttable:
+            each = [array("I", x.ids).tobytes() + end for x in self.library.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.frombuffer(b"".join(each), np.uint32), np.array([len(x) // 4 for x in each], np.int64)
+        odd = pc.match_substring_regex(texts, NOT_PLAIN)
+        if not pc.any(odd).as_py():
+            return self._of_cuts(pc.split_pattern(texts, " "), end)
+        plain, n_plain = self._of_cuts(pc.split_pattern(texts.filter(pc.invert(odd)), " "), end)
+        cut = [re.split(r"(?<=\S) (?=\S)", x) for x in texts.filter(odd).to_pylist()]
+        rest, n_rest = self._of_cuts(pa.array(cut, pa.large_list(pa.large_string())), end)
+        odd = odd.to_numpy(zero_copy_only=False)
+        n = np.empty(len(texts), np.int64)
+        n[~odd], n[odd] = n_plain, n_rest
+        ids = np.empty(n.sum(), np.uint32)
+        of_odd = np.repeat(odd, n)
+        ids[~of_odd], ids[of_odd] = plain, rest
+        return ids, n
+
+    def _of_cuts(self, split: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        if not len(split):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        at = np.asarray(split.offsets).astype(np.int64)
+        at -= at[0]
+        cuts = split.flatten()
+        firsts, rest = pc.dictionary_encode(cuts.take(pa.array(at[:-1]))), pc.dictionary_encode(cuts)
+        known, heads = self._known(rest.dictionary.to_pylist(), self.cache, " "), self._known(firsts.dictionary.to_pylist(), self.heads, "")
+        codes = np.array(rest.indices)
+        codes[at[:-1]] = len(known) + np.asarray(firsts.indices)
+        codes = np.insert(codes, at[1:], len(known) + len(heads))
+        ids, n = gathered(codes, [*known, *heads, end])
+        return ids, np.add.reduceat(n, at[:-1] + np.arange(len(split)), dtype=np.int64)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text as unsigned 32-bit integers."""
-        if not self.cuttable:
-            return [array("I", x.ids).tobytes() for x in self.library.encode_batch(texts, add_special_tokens=False)]
-        for held in (self.cache, self.heads):
-            if len(held) > CACHE_CUTS:
-                held.clear()
-        each = [x.split(" ") if _plain(x) else re.split(r"(?<=\S) (?=\S)", x) for x in texts]
-        heads = [x[0] for x in each]
-        found = [list(map(self.cache.get, x[1:])) for x in each]
-        lacking = [i for i, x in enumerate(found) if None in x]
-        self._learn(list({x for x in heads if x not in self.heads}), self.heads, "")
-        self._learn(list({cut for i in lacking for cut, x in zip(each[i][1:], found[i], strict=True) if x is None}), self.cache, " ")
-        for i in lacking:
-            found[i] = [self.cache[cut] if x is None else x for cut, x in zip(each[i][1:], found[i], strict=True)]
-        return [self.heads[head] + b"".join(x) for head, x in zip(heads, found, strict=True)]
-
-    def _learn(self, cuts: list[str], held: dict[str, bytes], lead: str) -> None:
+        if not texts:
+            return []
+        ids, n = self.encoded(pa.array(texts, pa.large_string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(n)[:-1])]
+
+    def _known(self, cuts: list[str], held: Kept, lead: str) -> list[bytes]:
+        found = held.get(cuts)
+        if None in found:
+            new = self._learned([cut for cut, x in zip(cuts, found, strict=True) if x is None], lead)
+            held.add(new)
+            found = [new[cut] if x is None else x for cut, x in zip(cuts, found, strict=True)]
+        return found
+
+    def _learned(self, cuts: list[str], lead: str) -> dict[str, bytes]:
         """New cuts go to the library as one text, cut again at the ids that begin with a space; odd ones by themselves."""
+        new: dict[str, bytes] = {}
         if lead:
-            joined = [x for x in cuts if x and x.isprintable() and " " not in x and "<|" not in x]
+            # Line ends within a cut are fine: they never join what follows, a word.
+            joined = [x for x in cuts if x and (x.isprintable() or (x[0] != "\n" != x[-1] and x.replace("\n", "").isprintable())) and " " not in x and "<|" not in x]
             for at in range(0, len(joined), JOINED):
                 some = joined[at : at + JOINED]
                 ids = np.array(self.library.encode_batch_fast([lead + lead.join(some)], add_special_tokens=False)[0].ids, np.uint32)
                 starts = np.flatnonzero(self.leads[ids])
                 if len(starts) == len(some) and starts[0] == 0:
                     blob, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-                    begin = 0
-                    for cut, end in zip(some, ends, strict=True):
-                        held[cut] = blob[begin:end]
-                        begin = end
-            cuts = [x for x in cuts if x not in held]
+                    new.update(zip(some, map(blob.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+            cuts = [x for x in cuts if x not in new]
         for cut, x in zip(cuts, self.library.encode_batch_fast([lead + x for x in cuts], add_special_tokens=False), strict=True):
-            held[cut] = array("I", x.ids).tobytes()
-
-
-def _plain(text: str) -> bool:
-    """Whether every space stands alone between two other characters, and there is no other white space but line ends."""
-    return not ("  " in text or " \n" in text or "\n " in text or text.startswith(" ") or text.endswith(" ") or OTHER_SPACE.search(text))
+            new[cut] = array("I", x.ids).tobytes()
+        return new
 
 
 def loaded(path: str) -> Tokens:
-    if path not in LOADED:
-        LOADED[path] = Tokens(path)
-    return LOADED[path]
+    return resident("tokens", path, lambda: Tokens(path))
 
 
 def coded(ids: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
@@ -131,7 +157,7 @@ def decoded(table: np.ndarray, control: bytes, data: bytes, n: int) -> np.ndarra
     return table[ranks]
 
 
-def shard_bytes(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
+def shard_bytes(doc_ids: list[int | None], lengths: list[int] | np.ndarray, ids: np.ndarray) -> bytes:
     table, control, data = coded(ids)
     head = MAGIC + np.array([len(doc_ids)], "<u4").tobytes() + np.array([len(ids)], "<u8").tobytes() + np.array([len(table), 8], "<u4").tobytes()
     null = np.array([x is None for x in doc_ids], np.uint8)
@@ -179,28 +205,33 @@ def _write(tokenizer_path: str, folder: str):
     def run(batches):
         tokens, part, shard = loaded(tokenizer_path), 0, TaskContext.get().partitionId()
         doc_ids: list = []
-        lengths: list[int] = []
-        blobs: list[bytes] = []
-        end, total = array("I", [END_ID]).tobytes(), 0
+        lengths: list[np.ndarray] = []
+        held: list[np.ndarray] = []
+        total = 0
 
         def flush():
-            nonlocal part, total, doc_ids, lengths, blobs
+            nonlocal part, total
             path = f"{folder}/shard-{shard:06d}-{part:05d}.tok"
-            ids = np.frombuffer(b"".join(blobs), np.uint32)
-            put(path, shard_bytes(doc_ids, lengths, ids))
+            ids = np.concatenate(held)
+            put(path, shard_bytes(doc_ids, np.concatenate(lengths), ids))
             row = pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "part": pa.array([part], pa.int32()), "path": [path], "n_docs": pa.array([len(doc_ids)], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64())})
-            part, total, doc_ids, lengths, blobs = part + 1, 0, [], [], []
+            for x in (doc_ids, lengths, held):
+                x.clear()
+            part, total = part + 1, 0
             return row
 
         for batch in batches:
-            texts = batch.column("text").fill_null("")
-            for at in range(0, len(texts), 256):
-                some = texts.slice(at, 256).to_pylist()
-                for doc, ids in zip(batch.column("doc").slice(at, 256).to_pylist(), tokens.encode(some), strict=True):
-                    doc_ids.append(doc)
-                    blobs.append(ids + end)
-                    lengths.append(len(blobs[-1]) // 4)
-                    total += lengths[-1]
+            for row, texts in chunks(batch.column("text")):
+                docs = batch.column("doc").slice(row, len(texts)).to_pylist()
+                ids, n = tokens.encoded(texts, END)
+                while docs:  # a file ends with the document that fills it
+                    sums = np.cumsum(n)
+                    k = min(int(np.searchsorted(sums, SHARD_IDS - total)) + 1, len(docs))
+                    doc_ids += docs[:k]
+                    lengths.append(n[:k])
+                    held.append(ids[: sums[k - 1]])
+                    total += int(sums[k - 1])
+                    docs, n, ids = docs[k:], n[k:], ids[sums[k - 1] :]
                     if total >= SHARD_IDS:
                         yield flush()
         if doc_ids:
@@ -221,7 +252,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
     order = ["doc", F.xxhash64("text")]
     sorted_ = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     made = stored(sorted_.mapInArrow(_write(tokenizer_path, folder), "shard int, part int, path string, n_docs long, n_ids long"), "manifest")
-    return made.withColumn("start", F.coalesce(F.sum("n_ids").over(W.orderBy("shard", "part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("long"))
+    # The files of a shard add up in its own task; over all there is one number a shard, that is, a partition.
+    before = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("long")
+    shards = made.groupBy("shard").agg(F.sum("n_ids").alias("n_ids")).select("shard", before(W.orderBy("shard")).alias("base"))
+    within = made.withColumn("start", before(W.partitionBy("shard").orderBy("part")))
+    return within.join(F.broadcast(shards), "shard").select("shard", "part", "path", "n_docs", "n_ids", (F.col("start") + F.col("base")).alias("start"))
 
 
 def _read(with_ids: bool):
