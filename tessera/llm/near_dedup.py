@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import partitions, stored
+from .scratch import partitions, stored, tidy
 from .words import U64, run_hashes, seeds, slices, window_starts, word_hashes
 
 WORDS_EACH, PERCENT = 5, 85
@@ -80,6 +80,7 @@ def signatures(sets: list[np.ndarray], hashes: int) -> np.ndarray:
 
 
 def _features(bands: int):
+    @tidy
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(batch.column("text")))
@@ -109,6 +110,7 @@ def _check_leaders(percent: int):
     """Rows sorted by group, the leader's before its members': only the leader's sets are held."""
     least = plan(percent)[1]
 
+    @tidy
     def run(batches):
         group, leaders = None, []
         for batch in batches:
@@ -131,8 +133,8 @@ def _check_blocks(percent: int):
     """Rows sorted by task; a task holds at most two blocks. Links across components only, as a spanning forest."""
     n_bands, least = plan(percent)
 
+    @tidy
     def run(batches):
-
         def solve(rows: list[tuple]) -> list[tuple[int, int]]:
             band, cross = rows[0][1], rows[0][2]
             signs = np.stack([r[6] for r in rows])
@@ -236,6 +238,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _sign(bands: int):
+    @tidy
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(batch.column("text")))

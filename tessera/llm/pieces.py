@@ -16,13 +16,19 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Kept, chunks, gathered, resident
+
 SPACE = "▁"
-CACHE_CUTS = 600_000
+CACHE_BYTES, CHUNK = 64 << 20, 4 << 20
+#: Cuts whose agendas are worked on at once.
+TOGETHER = 1 << 15
+#: Texts that are not words with one space between each: cut one by one.
+ODD = "^$|  |^ | $"
 LONG, NONE = 48, 1 << 30
-LOADED: dict[str, Pieces] = {}
 
 
 class Pieces:
@@ -42,8 +48,9 @@ class Pieces:
         probe = "  a\tb  Ａ  é "
         if sp.normalize(probe) != SPACE + probe.replace(" ", SPACE):
             raise ValueError("the vocabulary normalises more than spaces")
-        #: cut -> (its ids as 32-bit bytes, the same as decimals)
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        #: cut -> its ids as 32-bit bytes
+        self.cache = Kept(CACHE_BYTES)
+        self.decimals = list(map(str, range(sp.get_piece_size())))
         self._index_pairs()
 
     def _index_pairs(self) -> None:
@@ -166,65 +173,80 @@ class Pieces:
         found = re.findall(" +[^ ]*", " " + text)
         return [x[1:] for x in found]
 
-    def learn(self, texts: list[str]) -> list[list[tuple[bytes, str]]]:
-        """What is known of the cuts of each text, after new ones are encoded and checked against the library."""
-        if len(self.cache) > CACHE_CUTS:
-            self.cache.clear()
-        each = [self.cuts(x) for x in texts]
-        found = [list(map(self.cache.get, cuts)) for cuts in each]
-        lacking = [i for i, x in enumerate(found) if None in x]
-        new = list({cut for i in lacking for cut, x in zip(each[i], found[i], strict=True) if x is None})
-        for cut, own, right in zip(new, self.agendas([SPACE + x.replace(" ", SPACE) for x in new]), self.library.encode(new, num_threads=1), strict=True):
-            if own != right and cut:  # a lone space at a text's end: the library can't be given one by itself
-                raise AssertionError(f"the agenda gives {own} for {cut!r}, the library {right}")
-            self.cache[cut] = array("i", own).tobytes(), " ".join(map(str, own))
-        for i in lacking:
-            found[i] = list(map(self.cache.__getitem__, each[i]))
-        return found
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.joined(self.learn(texts))
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all the whole texts in turn, each with the end id; number of ids of each)."""
+        texts = pc.replace_substring(texts, SPACE, " ")
+        odd = pc.match_substring_regex(texts, ODD)
+        plain, n_plain = self._of_cuts(pc.split_pattern(texts.filter(pc.invert(odd)), " "))
+        cut = [self.cuts(x) for x in texts.filter(odd).to_pylist()]
+        rest, n_rest = self._of_cuts(pa.array(cut, pa.large_list(pa.large_string())))
+        odd = odd.to_numpy(zero_copy_only=False)
+        n = np.empty(len(texts), np.int64)
+        n[~odd], n[odd] = n_plain, n_rest
+        ids = np.empty(n.sum(), np.int32)
+        of_odd = np.repeat(odd, n)
+        ids[~of_odd], ids[of_odd] = plain, rest
+        return ids, n
 
-    def joined(self, known: list[list[tuple[bytes, str]]]) -> list[list[int]]:
-        return [[*array("i", b"".join([x for x, _ in cuts])), self.end] for cuts in known]
+    def _of_cuts(self, split: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not len(split):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        at = np.asarray(split.offsets).astype(np.int64)
+        at -= at[0]
+        cuts = pc.dictionary_encode(split.flatten())
+        known = self._known(cuts.dictionary.to_pylist())
+        codes = np.insert(np.array(cuts.indices), at[1:], len(known))
+        ids, n = gathered(codes, [*known, np.array([self.end], np.int32).tobytes()])
+        return ids.view(np.int32), np.add.reduceat(n, at[:-1] + np.arange(len(split)), dtype=np.int64)
 
+    def _known(self, cuts: list[str]) -> list[bytes]:
+        """The ids of each cut; new ones are encoded and checked against the library."""
+        found = self.cache.get(cuts)
+        if None not in found:
+            return found
+        new = [cut for cut, x in zip(cuts, found, strict=True) if x is None]
+        learnt: dict[str, bytes] = {}
+        for k in range(0, len(new), TOGETHER):
+            some = new[k : k + TOGETHER]
+            for cut, own, right in zip(some, self.agendas([SPACE + x.replace(" ", SPACE) for x in some]), self.library.encode(some, num_threads=1), strict=True):
+                if own != right and cut:  # a lone space at a text's end: the library can't be given one by itself
+                    raise AssertionError(f"the agenda gives {own} for {cut!r}, the library {right}")
+                learnt[cut] = array("i", own).tobytes()
+        self.cache.add(learnt)
+        return [learnt[cut] if x is None else x for cut, x in zip(cuts, found, strict=True)]
 
-def loaded(path: str) -> Pieces:
-    if path not in LOADED:
-        LOADED[path] = Pieces(path)
-    return LOADED[path]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if not texts:
+            return []
+        ids, n = self.encoded(pa.array(texts, pa.large_string()))
+        return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
 
 
-def _some(column: pa.Array, most: int = 1 << 20):
-    """Runs of rows with about ``most`` characters, so that lists of ids stay small."""
-    held, n = [], 0
-    for x in column.fill_null(""):
-        held.append(x.as_py())
-        n += len(held[-1])
-        if n >= most:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def loaded(path: str) -> Pieces:
+    return resident("pieces", path, lambda: Pieces(path))
 
 
 def _codec(path: str, digests: bool, carried: list[str]):
     def run(batches):
         pieces = loaded(path)
         for batch in batches:
-            row = 0
-            for texts in _some(batch.column("text")):
-                known = pieces.learn(texts)
-                ids = pieces.joined(known)
-                decoded = [pieces.library.decode(x) for x in ids]
-                head = [*(batch.column(c).slice(row, len(texts)) for c in carried), pa.array(map(len, ids), pa.int64())]
-                row += len(texts)
+            for row, texts in chunks(batch.column("text"), CHUNK):
+                ids, n = pieces.encoded(texts)
+                ends = np.cumsum(n)
+                head = [*(batch.column(c).slice(row, len(texts)) for c in carried), pa.array(n, pa.int64())]
+                sums, decoded = [], []
+                for begin, end in zip((ends - n).tolist(), ends.tolist(), strict=True):
+                    own = ids[begin:end].tolist()
+                    back = pieces.library.decode(own)
+                    if digests:
+                        sums.append(hashlib.sha256(" ".join(map(pieces.decimals.__getitem__, own)).encode()).hexdigest())
+                        back = hashlib.sha256(back.encode()).hexdigest()
+                    decoded.append(back)
                 if digests:
-                    sums = [hashlib.sha256(" ".join([*[d for _, d in x if d], str(pieces.end)]).encode()).hexdigest() for x in known]
-                    back = [hashlib.sha256(x.encode()).hexdigest() for x in decoded]
-                    yield pa.RecordBatch.from_arrays([*head, pa.array(sums), pa.array(back)], [*carried, "n_tokens", "ids_sha256", "decoded_sha256"])
+                    yield pa.RecordBatch.from_arrays([*head, pa.array(sums, pa.string()), pa.array(decoded, pa.string())], [*carried, "n_tokens", "ids_sha256", "decoded_sha256"])
                 else:
-                    yield pa.RecordBatch.from_arrays([*head, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)], [*carried, "n_tokens", "ids", "decoded"])
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
+                    yield pa.RecordBatch.from_arrays([*head, lists, pa.array(decoded, pa.string())], [*carried, "n_tokens", "ids", "decoded"])
 
     return run
 

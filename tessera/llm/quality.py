@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import partitions, stored
+from .scratch import partitions, stored, tidy
 from .words import SPACE, U64, mix, seeds, slices, span_hashes, word_bounds, word_hashes
 
 #: Insults that the toxicity labellers look for, in three overlapping lists.
@@ -104,6 +104,7 @@ def votes(share: np.ndarray, tokens: np.ndarray, start: np.ndarray) -> np.ndarra
     return (np.stack([*junk, *toxic], 1) @ (1 << np.arange(len(junk) + len(toxic)))).astype(np.int32)
 
 
+@tidy
 def _votes(batches):
     for batch in batches:
         out = [votes(*shapes(data, offsets)) for _, data, offsets in slices(batch.column("text"))]
@@ -162,6 +163,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.stack([low, high], 1).reshape(-1), 2 * at
 
 
+@tidy
 def _features(batches):
     for batch in batches:
         row = 0
@@ -276,6 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
 
 
 def _score(shared):
+    @tidy
     def run(batches):
         model = shared.value
         for batch in batches:

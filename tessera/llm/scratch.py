@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
@@ -69,7 +70,7 @@ def resident(kind: str, key: str, make: Callable[[], Any]) -> Any:
 
 
 def vacate() -> None:
-    """Gives a worker's memory back to the system; operators that keep nothing call it when a task begins."""
+    """Gives a worker's memory back to the system."""
     HELD.clear()
     pa.default_memory_pool().release_unused()
     try:
@@ -78,6 +79,20 @@ def vacate() -> None:
         pass
 
 
+def tidy(run):
+    """An Arrow function of batches that keeps nothing: a worker's memory is given back before a task and after it."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        vacate()
+        try:
+            yield from run(batches)
+        finally:
+            vacate()
+
+    return tidied
+
+
 class Kept:
     """What was made of short texts, up to ``most`` bytes: when it is full, the half that came first goes.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import even_labels, partitions
+from .scratch import even_labels, partitions, tidy, vacate
 from .words import U64, run_hashes, slices, window_starts, word_hashes
 
 #: Blocks and buckets that each partition holds; answers are at most blocks * buckets rows.
@@ -51,6 +51,7 @@ def hashes_of(column: pa.Array, window: int):
 def _send(window: int, labels: list[int]):
     buckets, names = len(labels), np.array(labels, np.int32)
 
+    @tidy
     def run(batches):
         held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
@@ -95,6 +96,12 @@ def _answer(table: pa.Table) -> pa.Table:
 
 def _remove(window: int, carried: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        try:
+            return removed(docs, answers)
+        finally:
+            vacate()
+
+    def removed(docs: pa.Table, answers: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
         texts = docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
         found = list(hashes_of(texts, window))

@@ -10,16 +10,17 @@ Texts are cut to words as by its Metaspace splitter; each distinct word is count
 
 from __future__ import annotations
 
-from itertools import chain
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Kept, chunks, resident
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 1_000_000
-LOADED: dict[str, Counter] = {}
+CACHE_BYTES = 192 << 20
 
 
 def unigram_vocabulary(model_path: str) -> list[tuple[str, float]]:
@@ -42,7 +43,7 @@ class Counter:
         names = {x for x, _ in vocabulary}
         self.bytes = all(f"<0x{b:02X}>" in names for b in range(256))
         self.unknown = min(s for _, s in vocabulary) - UNKNOWN_PENALTY
-        self.cache: dict[str, int] = {}
+        self.cache = Kept(CACHE_BYTES)
 
     def count(self, word: str) -> int:
         n = len(word)
@@ -65,30 +66,35 @@ class Counter:
         return pieces[n]
 
     def counts(self, texts: list[str]) -> list[int]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        each = []
-        for x in texts:
-            x = x.replace(" ", SPACE)
-            each.append(x.removeprefix(SPACE).split(SPACE) if x else [])
-        found = [list(map(self.cache.get, words)) for words in each]
-        lacking = [i for i, x in enumerate(found) if None in x]
-        for word in set(chain.from_iterable(each[i] for i in lacking)) - self.cache.keys():
-            self.cache[word] = self.count(SPACE + word)
-        for i in lacking:
-            found[i] = list(map(self.cache.__getitem__, each[i]))
-        return list(map(sum, found))
+        if not texts:
+            return []
+        return self.of_texts(pa.array(texts, pa.large_string())).tolist()
+
+    def of_texts(self, texts: pa.Array) -> np.ndarray:
+        split = pc.split_pattern(pc.replace_substring(texts, " ", SPACE), SPACE)
+        at = np.asarray(split.offsets).astype(np.int64)
+        at -= at[0]
+        coded = pc.dictionary_encode(split.flatten())
+        words = coded.dictionary.to_pylist()
+        known = self.cache.get(words)
+        new = {word: self.count(SPACE + word) for word, x in zip(words, known, strict=True) if x is None}
+        self.cache.add(new)
+        pieces = np.array([new[word] if x is None else x for word, x in zip(words, known, strict=True)], np.int64)
+        # The splitter puts a space in front unless there is one, and no text has no word: a first cut without
+        # characters is neither.
+        counts = pieces[np.asarray(coded.indices)]
+        firsts = at[:-1]
+        empty = pc.equal(split.flatten().take(pa.array(firsts)), "").to_numpy(zero_copy_only=False)
+        counts[firsts[empty]] = 0
+        return np.add.reduceat(counts, firsts)
 
 
 def _count(key: str, vocabulary: list[tuple[str, float]]):
     def run(batches):
-        if key not in LOADED:
-            LOADED[key] = Counter(vocabulary)
+        counter = resident("counts", key, lambda: Counter(vocabulary))
         for batch in batches:
-            texts, out = batch.column("text").fill_null(""), []
-            for at in range(0, len(texts), 256):
-                out += LOADED[key].counts(texts.slice(at, 256).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("carry"), pa.array(out, pa.int64())], ["carry", "n_tokens"])
+            out = [counter.of_texts(texts) for _, texts in chunks(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("carry"), pa.array(np.concatenate(out) if out else [], pa.int64())], ["carry", "n_tokens"])
 
     return run
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15 | 3, 0xD6E8FEB86659FD93
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
