@@ -43,3 +43,21 @@ def test_entry_contract(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("gone", [("tessera/llm",), ("tessera/llm", "corpus_pipeline.py")])
+def test_entry_without_the_corpus_operators(tmp_path, gone):
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for name in ("tessera", "__spark_entry__.py", "corpus_pipeline.py"):
+        at = os.path.join(root, name)
+        if os.path.isdir(at):
+            shutil.copytree(at, tmp_path / name, ignore=shutil.ignore_patterns("__pycache__", "llm"))
+        elif os.path.exists(at) and name not in gone:
+            shutil.copy(at, tmp_path / name)
+    code = "import __spark_entry__ as e; q = e.queries(); assert q and set(e.oracle_sql()) <= set(q) and not [n for n in q if n == 'pipeline' or n.startswith('op')]"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
