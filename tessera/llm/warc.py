@@ -3,7 +3,8 @@
 Captures go in order of their key, the URL with its host reversed. Each task writes archives (a gzip member a record)
 and beside each an index file: lines of key, page, offset and length in key order, in gzip blocks of BLOCK_LINES.
 The sparse directory has a row for each block: its first and last key, file, offset and length. A look-up finds the
-block by its keys, reads that range of the index, searches it in halves and reads that range of the archive.
+block by its keys, reads that range of the index, searches it in halves and reads that range of the archive. All records
+are read the same way, block by block: the index says where each is, and is held against what is there.
 
 Of records with equal payloads of at least LEAST_REVISIT bytes, that with the largest page id is a response and the
 others revisit it.
@@ -154,6 +155,18 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     return stored(met.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).mapInArrow(_write(folder), DIRECTORY), "directory")
 
 
+RECORD = [("page", pa.int64(), "long"), ("url", pa.string(), "string"), ("payload_bytes", pa.int64(), "long"), ("sha1", pa.string(), "string"), ("type", pa.string(), "string"), ("refers_to", pa.int64(), "long"), ("payload", pa.binary(), "binary")]
+
+
+def _batch(found: list[dict], with_payload: bool) -> pa.RecordBatch:
+    columns = RECORD if with_payload else RECORD[:-1]
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t, _ in columns], [k for k, _, _ in columns])
+
+
+def _schema(with_payload: bool) -> str:
+    return ", ".join(f"{k} {kind}" for k, _, kind in (RECORD if with_payload else RECORD[:-1]))
+
+
 def _read(with_payload: bool):
     def run(batches):
         for batch in batches:
@@ -161,30 +174,61 @@ def _read(with_payload: bool):
                 store, name = opened(path)
                 with store.open_input_stream(name, compression=None) as f:
                     blob = memoryview(f.read())
-                found = [parsed(content) for _, _, content in members(blob)]
-                columns = [("page", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("sha1", pa.string()), ("type", pa.string()), ("refers_to", pa.int64()), *([("payload", pa.binary())] if with_payload else [])]
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in columns], [k for k, _ in columns])
+                yield _batch([parsed(content) for _, _, content in members(blob)], with_payload)
 
     return run
 
 
 def read_archives(directory: DataFrame, with_payload: bool = True) -> DataFrame:
-    """All records of the archives; every response's payload is held against its digest."""
-    paths = directory.select("archive_path").distinct().repartition(partitions(directory.sparkSession), "archive_path")
-    return paths.mapInArrow(_read(with_payload), "page long, url string, payload_bytes long, sha1 string, type string, refers_to long" + ", payload binary" * with_payload)
+    """All records of the archives from start to end, without the index; every payload is held against its digest."""
+    paths = directory.where("block = 0").select("archive_path").repartition(partitions(directory.sparkSession), "archive_path")
+    return paths.mapInArrow(_read(with_payload), _schema(with_payload))
+
+
+def _block(row: dict) -> list[str]:
+    return zlib.decompress(_range(row["index_path"], row["offset"], row["length"])).decode().split("\n")
+
+
+def _read_blocks(with_payload: bool):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                lines = [json.loads(x) for x in _block(row)]
+                keys = [x[0] for x in lines]
+                if len(lines) != row["lines"] or keys != sorted(keys) or (keys[0], keys[-1]) != (row["first_key"], row["last_key"]):
+                    raise ValueError(f"block {row['block']} of {row['index_path']} is not what the directory says")
+                begin, found = lines[0][2], []
+                held = memoryview(_range(row["archive_path"], begin, lines[-1][2] + lines[-1][3] - begin))
+                for k, (_, page, at, length) in enumerate(lines):
+                    record = parsed(zlib.decompress(held[at - begin : at - begin + length], 31))
+                    if record["page"] != page or (k and at != lines[k - 1][2] + lines[k - 1][3]):
+                        raise ValueError(f"line {k} of block {row['block']} of {row['index_path']} points to another record")
+                    found.append(record)
+                yield _batch(found, with_payload)
+
+    return run
+
+
+def read_records(directory: DataFrame, with_payload: bool = True) -> DataFrame:
+    """All records through the index: a task takes blocks of the directory, reads their lines and the archive range
+    they name. Lines out of order, gaps between records, other pages than a line names and payloads that differ from
+    their digests are errors."""
+    blocks = directory.repartition(partitions(directory.sparkSession), "index_path", "block")
+    return blocks.mapInArrow(_read_blocks(with_payload), _schema(with_payload))
 
 
 def find(directory: DataFrame, url: str) -> list[dict]:
-    """Records of one URL: directory, block, range. A revisit's payload is its response's; nothing else is read."""
+    """Records of one URL: directory, block, halves of the block, range. A revisit's payload is its response's; nothing
+    else is read, and of a block's lines only those that the search touches are looked into."""
     key = directory.sparkSession.createDataFrame([(url,)], "u string").select(surt(F.col("u"))).first()[0]
     out = []
     for block in directory.where((F.col("first_key") <= key) & (F.col("last_key") >= key)).orderBy("shard", "part", "block").toLocalIterator():
-        lines = [json.loads(x) for x in zlib.decompress(_range(block["index_path"], block["offset"], block["length"])).decode().split("\n")]
-        for k in range(bisect_left(lines, key, key=lambda x: x[0]), len(lines)):
-            if lines[k][0] != key:
+        lines = _block(block)
+        for k in range(bisect_left(lines, key, key=lambda x: json.loads(x)[0]), len(lines)):
+            own, _, at, length = json.loads(lines[k])
+            if own != key:
                 break
-            data = _range(block["archive_path"], lines[k][2], lines[k][3])
-            out.append(parsed(zlib.decompress(data, 31)))
+            out.append(parsed(zlib.decompress(_range(block["archive_path"], at, length), 31)))
     return out
 
 
@@ -196,5 +240,5 @@ def _range(uri: str, offset: int, length: int) -> bytes:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     directory = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), fresh_path(spark, "warc"))
-    out = read_archives(directory, with_payload=False)
+    out = read_records(directory, with_payload=False)
     return out.select(F.col("page").alias("page_id"), "payload_bytes", F.col("sha1").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
