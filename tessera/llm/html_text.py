@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 from .scratch import stored
 
 #: Elements by their part in a page.
-RAW = frozenset("script style noscript template svg math iframe object textarea select title".split())
+RAW = frozenset("script style noscript template svg iframe object textarea select title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 BOILER_TAGS = frozenset("head nav footer aside form button menu dialog fieldset label datalist".split()) | RAW
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 BOILER_NAMES = frozenset(
@@ -32,6 +33,8 @@ BOILER_NAMES = frozenset(
     "sidebar aside rail widget notice cookie cookies consent gdpr popup modal overlay alert subscribe subscription newsletter signup login share sharing social comment comments disqus "
     "replies responses related recommended pagination pager toolbar search searchbox form".split()
 )
+#: Names that mean the site's parts outside an article, but in one its own: a heading, a call-out, a layout.
+OUTSIDE_ONLY = frozenset("alert banner form header masthead menu overlay rail widget".split())
 #: Names that say of an article element itself that it is none.
 NOT_ARTICLE = frozenset("ad ads advert comment comments promo related reply sponsored teaser".split())
 MAIN_NAMES = frozenset("article content main post entry story maincontent".split())
@@ -49,19 +52,20 @@ NEARLY = 0.6
 #: Sample pages are kept by every worker up to this total size, else joined by host.
 BROADCAST_BYTES = 32 << 20
 CELLS = 1 << 18
-COUNTS = ["host", "part", "sample", "leaf", "met", "same", "low", "high"]
+COUNTS = ["host", "part", "sample", "leaf", "inside", "met", "same", "low", "high"]
 
 
 class Node:
-    __slots__ = ("boiler", "children", "label", "main", "n", "tag", "text")
+    __slots__ = ("boiler", "children", "inside", "label", "main", "n", "tag", "text")
 
-    def __init__(self, tag: str, label: str, boiler: bool = False, main: bool = False, text: str | None = None) -> None:
-        self.tag, self.label, self.boiler, self.main, self.text = tag, label, boiler, main, text
+    def __init__(self, tag: str, label: str, boiler: bool = False, main: bool = False, text: str | None = None, inside: bool = False) -> None:
+        self.tag, self.label, self.boiler, self.main, self.text, self.inside = tag, label, boiler, main, text, inside
         self.children: list[Node] = []
         self.n = -1
 
 
-def _node(tag: str, attributes: str) -> Node:
+def _node(tag: str, attributes: str, parent: Node) -> Node:
+    inside = _holds(parent)
     label, boiler, main = tag, tag in BOILER_TAGS, tag in ("article", "main")
     if attributes and not attributes.isspace():
         for name, *values in MARK.findall(attributes):
@@ -75,9 +79,14 @@ def _node(tag: str, attributes: str) -> Node:
                 label += f".{value}"
                 if tag not in ("html", "body"):
                     words = {*NAME.findall(value), *re.split(r"\s+", value), *re.split(r"[\s_-]+", value)}
-                    boiler |= not (NOT_ARTICLE if tag in ("article", "main") else BOILER_NAMES).isdisjoint(words)
+                    boiler |= not (NOT_ARTICLE if tag in ("article", "main") else BOILER_NAMES - OUTSIDE_ONLY if inside else BOILER_NAMES).isdisjoint(words)
                     main |= not MAIN_NAMES.isdisjoint(words)
-    return Node(tag, label, boiler, main and not boiler)
+    return Node(tag, label, boiler, main and not boiler, inside=inside)
+
+
+def _holds(node: Node) -> bool:
+    """Whether what is in this node is in an article or a part named as content."""
+    return node.inside or node.main or node.tag == "article"
 
 
 def parsed(page: str) -> Node:
@@ -91,7 +100,7 @@ def parsed(page: str) -> Node:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                stack[-1].children.append(Node("#text", "#text", text=text))
+                stack[-1].children.append(Node("#text", "#text", text=text, inside=_holds(stack[-1])))
 
     while at < end:
         m = TOKEN.search(page, at)
@@ -109,7 +118,7 @@ def parsed(page: str) -> Node:
         tag = tag.lower()
         if tag in INLINE:
             # An inline part that is marked as no content is a part of its own.
-            if not m[1] and m[3] and (node := _node(tag, m[3])).boiler:
+            if not m[1] and m[3] and (node := _node(tag, m[3], stack[-1])).boiler:
                 flush()
                 stack[-1].children.append(node)
                 stack.append(node)
@@ -140,7 +149,7 @@ def parsed(page: str) -> Node:
                     break
                 if open_ in HOLDS:
                     break
-        node = _node(tag, m[3])
+        node = _node(tag, m[3], stack[-1])
         stack[-1].children.append(node)
         stack.append(node)
     flush()
@@ -172,6 +181,18 @@ def layout(root: Node) -> str:
     return f"{zlib.crc32(whole):08x}{zlib.adler32(whole):08x}{len(paths):x}"
 
 
+def matched(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+    """``match`` for pages nested to any depth: Python's own calls take no room on the system's stack."""
+    need, deep = 0, [(a, 1)]
+    while deep:
+        node, depth = deep.pop()
+        need = max(need, depth)
+        deep += [(c, depth + 1) for c in node.children]
+    if 3 * need + 500 > sys.getrecursionlimit():
+        sys.setrecursionlimit(3 * need + 500)
+    return match(a, b)
+
+
 def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: (matched nodes, pairs of leaves) of two nodes with one label.
 
@@ -327,53 +348,63 @@ def aligned(root: Node, samples: list[Sample], every: bool = False, known: dict
     found = []
     for s in samples:
         if id(s.root) not in known:
-            known[id(s.root)] = match(s.root, root)
+            known[id(s.root)] = matched(s.root, root)
         found.append(known[id(s.root)])
     best = max((score for score, _ in found), default=0)
     return [(k, pairs) for k, (score, pairs) in enumerate(found) if every or score >= NEARLY * best]
 
 
 def _text_size(node: Node) -> int:
-    return len(node.text) if node.text is not None else sum(_text_size(c) for c in node.children if not c.boiler)
+    size, todo = 0, [node]
+    while todo:
+        x = todo.pop()
+        size += len(x.text) if x.text is not None else 0
+        todo += [c for c in x.children if not c.boiler]
+    return size
 
 
-def _kept(node: Node, template: set[int], out: list[str], in_article: bool) -> None:
-    for c in node.children:
+def _kept(node: Node, template: set[int]) -> list[str]:
+    """The texts of a node's leaves without the template and what is marked as no content."""
+    out: list[str] = []
+    todo = [(c, node.tag == "article") for c in reversed(node.children)]
+    while todo:
+        c, in_article = todo.pop()
         if c.boiler or (in_article and c.tag == "article"):  # an article in an article is a comment
             continue
         if c.text is not None:
             if c.n not in template:
                 out.append(c.text)
         elif not (c.tag == "header" and not in_article and not any(x.main for x in c.children)):
-            _kept(c, template, out, in_article or c.tag == "article")
+            todo += [(x, in_article or c.tag == "article") for x in reversed(c.children)]
+    return out
 
 
 def _mains(node: Node, tag: str | None) -> list[Node]:
     """Topmost parts that are the article, by tag or by name."""
     out: list[Node] = []
-    for c in node.children:
+    todo = list(reversed(node.children))
+    while todo:
+        c = todo.pop()
         if c.boiler or c.text is not None:
             continue
-        out += [c] if (c.tag == tag if tag else c.main) else _mains(c, tag)
+        if c.tag == tag if tag else c.main:
+            out.append(c)
+        else:
+            todo += reversed(c.children)
     return out
 
 
 def main_text(root: Node, template: set[int]) -> str:
-    """The text of the largest article, else of the largest part named as content, else of the whole page."""
+    """The text of the largest article, else of the largest part named as content, else of the whole page.
+
+    Where the template leaves nothing of an article, the pages share the article itself, and it stays.
+    """
     for tag in ("article", None):
         if mains := _mains(root, tag):
             best = max(mains, key=_text_size)
-            whole: list[str] = []
-            _kept(best, set(), whole, best.tag == "article")
-            out: list[str] = []
-            _kept(best, template, out, best.tag == "article")
-            if 2 * sum(map(len, out)) < sum(map(len, whole)):  # pages that share their article, not a template
-                out = whole
-            if out:
+            if out := _kept(best, template) or _kept(best, set()):
                 return " ".join(out)
-    out = []
-    _kept(root, template, out, False)
-    return " ".join(out)
+    return " ".join(_kept(root, template))
 
 
 def _lookup(shared):
@@ -413,21 +444,29 @@ def _rows(batch, *names):
 def _count(shared):
     def run(batches):
         get = _lookup(shared)
-        counts: dict[tuple[str, str, int, int], list[int]] = {}
+        counts: dict[tuple[str, str, int, int, bool], list[int]] = {}
         for batch in batches:
             for host, page, h, pages, own in _rows(batch, "host", "html", "h", "samples", "own_samples"):
                 if not page:
                     continue
                 root, known = parsed(page), {}
                 for part, some in (("", pages), (layout(root), own)):
-                    for k, pairs in aligned(root, get(host, part, some, None), bool(part), known):
-                        for p, q in pairs:
-                            entry = counts.setdefault((host, part, k, p.n), [0, 0, h, h])
+                    samples = get(host, part, some, None)
+                    fitting = {k for k, _ in aligned(root, samples, bool(part), known)}
+                    for k, pairs in aligned(root, samples, True, known):
+                        # What is in an article is judged by the host alone, by all its pages (those that fit best are
+                        # often those with the same words), and not by copies of one article.
+                        inner = 0 if part else sum(len(q.text) if p.text == q.text else -len(q.text) for p, q in pairs if p.inside)
+                        seen = [(p.n, p.inside, p.text == q.text) for p, q in pairs if (not part and inner <= 0 if p.inside else k in fitting)]
+                        if not part and inner <= 0:
+                            seen.append((-1, True, True))  # the page itself
+                        for leaf, inside, same in seen:
+                            entry = counts.setdefault((host, part, k, leaf, inside), [0, 0, h, h])
                             entry[0] += 1
-                            entry[1] += p.text == q.text
+                            entry[1] += same
                             entry[2:] = min(entry[2], h), max(entry[3], h)
         rows = [(*key, *entry) for key, entry in counts.items()]
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], COUNTS)
 
     return run
@@ -458,7 +497,8 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     A null or empty page has the text "". Pages without a host form one group. Leaves are counted over all pages of the
     host against its two samples, and over all pages of each layout against that layout's two. A leaf is template where
     LEAST_PAGES pages, or all where there are fewer, met it, two or more of them differ, and LEAST_SHARE of them had its
-    text. Repeated rows each get a row; ids are only carried. Other columns are ignored; an empty table gives an empty
+    text. In an article common passages are no template: there only the host counts, only pages whose article is not for
+    the most part the sample's, and the share of all these by Laplace's rule, (same + 1) / (pages + 2). Repeated rows each get a row; ids are only carried. Other columns are ignored; an empty table gives an empty
     table. A host of any size costs a worker its sample pages and one small count a leaf.
     """
     spark = pages.sparkSession
@@ -488,10 +528,14 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         return parted.join(known.where("part = ''").drop("part"), "host", "left").join(own, ["host", "part"], "left")
 
     shared = spark.sparkContext.broadcast({(r["host"], r["part"]): (r["samples"], [[]] * len(r["samples"])) for r in samples.collect()}) if small else None
-    counted = (rows if small else joined(samples)).withColumn("h", F.xxhash64("html")).mapInArrow(_count(shared), "host string, part string, sample int, leaf int, met long, same long, low long, high long")
-    counted = counted.groupBy("host", "part", "sample", "leaf").agg(F.sum("met").alias("met"), F.sum("same").alias("same"), F.min("low").alias("low"), F.max("high").alias("high"))
+    counted = (rows if small else joined(samples)).withColumn("h", F.xxhash64("html")).mapInArrow(_count(shared), "host string, part string, sample int, leaf int, inside boolean, met long, same long, low long, high long")
+    counted = counted.groupBy("host", "part", "sample", "leaf", "inside").agg(F.sum("met").alias("met"), F.sum("same").alias("same"), F.min("low").alias("low"), F.max("high").alias("high"))
+    counted = stored(counted, "counts")
     counted = counted.where((F.col("same") >= LEAST_SHARE * F.col("met")) & (F.col("low") < F.col("high"))).join(lowest.select("host", "part", "n"), ["host", "part"])
-    template = counted.where(F.col("met") >= F.least(F.lit(LEAST_PAGES), F.col("n"))).groupBy("host", "part", "sample").agg(F.collect_list("leaf").alias("leaves"))
+    asked = counted.where("leaf < 0").select("host", "part", "sample", F.col("met").alias("asked"))
+    counted = counted.where("leaf >= 0").join(asked, ["host", "part", "sample"], "left")
+    often = F.when(F.col("inside"), F.col("same") + 1 >= LEAST_SHARE * (F.col("asked") + 2)).otherwise(F.col("met") >= F.least(F.lit(LEAST_PAGES), F.col("n")))
+    template = counted.where(often).groupBy("host", "part", "sample").agg(F.collect_list("leaf").alias("leaves"))
     template = template.groupBy("host", "part").agg(F.map_from_entries(F.collect_list(F.struct("sample", "leaves"))).alias("m"))
     known = samples.join(template, ["host", "part"], "left").select("host", "part", "samples", F.transform(F.sequence(F.lit(0), F.size("samples") - 1), lambda k: F.coalesce(F.try_element_at("m", k), F.array().cast("array<int>"))).alias("templates"))
     known = stored(known, "templates")

@@ -1,9 +1,11 @@
 import hashlib
 import html
+import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import warc
 from tessera.llm.html_text import Sample, aligned, leaves, main_text, page_text, parsed
@@ -129,11 +131,25 @@ def test_warc_round_trip_and_look_up(spark, tmp_path):
         p = (h or "").encode()
         again = p in best and best[p] != i
         want.append((i, len(p), hashlib.sha1(p).hexdigest(), "revisit" if again else "response", best[p] if again else None))
-    assert sorted(((r.page, r.payload_bytes, r.sha1, r.type, r.refers_to) for r in out.collect()), key=str) == sorted(want, key=str)
+    for read in (out, warc.read_records(directory), warc.read_records(directory, with_payload=False)):
+        assert sorted(((r.page, r.payload_bytes, r.sha1, r.type, r.refers_to) for r in read.collect()), key=str) == sorted(want, key=str)
     assert sorted(r["page"] for r in warc.find(directory, "https://a.example/3")) == [3, 10, 17, 24, 31, 38]
     assert {(r["page"], r["type"]) for r in warc.find(directory, "http://a.example/x")} == {(50, "revisit"), (None, "revisit")}
     assert warc.find(directory, "http://nowhere/") == []
-    assert warc.read_archives(warc.write_archives(df.where("false"), f"file://{tmp_path}/e")).count() == 0
+    with pytest.raises(Exception, match="is not what the directory says"):
+        warc.read_records(directory.withColumn("first_key", F.lit("a"))).collect()
+    none = warc.write_archives(df.where("false"), f"file://{tmp_path}/e")
+    assert warc.read_archives(none).count() == warc.read_records(none).count() == 0
+
+
+def test_warc_blocks_of_a_long_index(spark, tmp_path, monkeypatch):
+    pages = [(i, f"http://h{i % 50}.example/{i}", f"<p>{i % 900}</p>", "x") for i in range(3000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, payload string")
+    directory = warc.write_archives(df, f"file://{tmp_path}/w").cache()
+    assert directory.count() >= 6 and directory.agg(F.sum("lines")).first()[0] == 3000
+    got = {r.page: bytes(r.payload).decode() for r in warc.read_records(directory).collect()}
+    assert got == {i: h for i, _, h, _ in pages}
+    assert all([r["page"] for r in warc.find(directory, f"http://h{i % 50}.example/{i}")] == [i] for i in (0, 1499, 2999))
 
 
 def test_label_model_finds_accuracies():
@@ -206,3 +222,36 @@ def test_pipeline(spark, sf_dir):
         assert seen[2][i] == " ".join(x for x, k in zip(w, keep, strict=True) if k)
     last = pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     assert {r.doc_id: r.text for r in last} == seen[3] and all(r.ids[-1] == 2 for r in last)
+
+
+def test_names_in_an_article():
+    page = "<article><header class='entry-header'><h1>Title</h1></header><div class='long-form'><p>one</p></div><div class='alert'>two</div><p>x <math><mi>a</mi><mo>=</mo><mn>1</mn></math></p><div class='related widget'>no</div><div class='ad'>no</div><footer>no</footer></article><div class='alert'>no</div>"
+    assert text_of(page) == "Title one two x a=1"
+
+
+def test_deeply_nested_pages(spark):
+    deep = lambda i, n: "<body>" + "<div>" * n + f"<p>Welcome</p><p>Story {i}</p>" + "</div>" * n + "</body>"
+    pages = [(i, "http://h.example/", deep(i, 3000)) for i in range(4)] + [(9, "http://g.example/", deep(9, 20000))]
+    got = {r.page_id: r.text for r in page_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"Story {i}" for i in range(4)}, 9: "Welcome Story 9"}
+
+
+def test_passages_that_articles_share_stay(spark):
+    """In a host whose pages often begin alike, and in one with copies of an article, only the site's line goes."""
+    pages = [(i, "http://h.example/", f"<nav>m</nav><article><p>{'A common opening.' if i % 3 == 0 else f'Opening {i}.'}</p><p>Story {i}</p><p>Read on in our shop</p></article><ul><li>{i}</ul>") for i in range(40)]
+    pages += [(100 + i, "http://copies.example/", f"<article><p>{'The very same long first paragraph of an article. ' * 3}</p><p>copy {i}</p></article>") for i in range(20)]
+    got = {r.page_id: r.text for r in page_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"{'A common opening.' if i % 3 == 0 else f'Opening {i}.'} Story {i}" for i in range(40))
+    assert all(got[100 + i] == f"{('The very same long first paragraph of an article. ' * 3).strip()} copy {i}" for i in range(20))
+
+
+def test_pages_without_any_mark_by_induction_alone(spark):
+    """Only what changes from page to page tells the content here: no article, no names, no roles."""
+    random.seed(5)
+    pages, want = [], {}
+    for i in range(60):
+        story = [f"Paragraph {i} {k} {random.random()}" for k in range(random.randint(1, 5))]
+        want[i] = " ".join(story)
+        pages.append((i, "http://plain.example/", "<body><table><tr><td>Home</td><td>Products</td></tr></table><div><div>Breaking offers</div>" + "".join(f"<p>{x}</p>" for x in story) + "</div><div>Call 555</div><div>All rights reserved</div></body>"))
+    got = {r.page_id: r.text for r in page_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == want
