@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .scratch import Kept, chunks, gathered, resident
 
 SPACE = "▁"
-CACHE_BYTES, CHUNK = 64 << 20, 4 << 20
+CACHE_BYTES, CHUNK = 48 << 20, 2 << 20
 #: Cuts whose agendas are worked on at once.
 TOGETHER = 1 << 15
 #: Texts that are not words with one space between each: cut one by one.
