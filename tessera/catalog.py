@@ -32,8 +32,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 # --- prompts, jobs, units, batches -----------------------------------------------------------------------------
 
-LINES = """SELECT lang, doc_id, line_no, trim(line) AS prompt FROM (SELECT lang, doc_id, unnest(string_split(text, chr(10))) AS line,
-  generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents) WHERE length(trim(line)) > 0 AND NOT starts_with(trim(line), '#')"""
+#: Lines end and are stripped as in Python's splitlines() and strip().
+SPLIT = r"string_split_regex(text, '\r\n|[\n\x0B\x0C\r\x1C-\x1E\x{85}\x{2028}\x{2029}]')"
+BLANK = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+LINES = f"""SELECT lang, doc_id, line_no, prompt FROM (SELECT lang, doc_id, line_no, regexp_replace(line, '^{BLANK}+|{BLANK}+$', '', 'g') AS prompt FROM
+  (SELECT lang, doc_id, unnest({SPLIT}) AS line, generate_subscripts({SPLIT}, 1) AS line_no FROM documents)) WHERE length(prompt) > 0 AND NOT starts_with(prompt, '#')"""
 NORM = r"trim(regexp_replace(lower(prompt), '\s+', ' ', 'g'))"
 FIRST_LINES = f"SELECT lang, doc_id, line_no, prompt FROM (SELECT *, row_number() OVER (PARTITION BY lang, {NORM} ORDER BY doc_id, line_no) AS n FROM ({LINES})) WHERE n = 1"
 
@@ -71,14 +74,30 @@ def fan_out_targets(spark, d):
     return jobs.fan_out_targets(table(spark, d, "part").select("p_partkey", F.array(size + 20, size + 32, size + 44).alias("targets")), "targets")
 
 
-@query("""SELECT p_partkey, v AS variant_index, CASE WHEN greatest(1, p_size % 5) > 1 THEN 'p' || p_partkey || '_v' || lpad(v::varchar, 2, '0') ELSE 'p' || p_partkey END AS unit
-  FROM (SELECT p_partkey, p_size, unnest(range(0, greatest(1, p_size % 5))) AS v FROM part)""")
+@query("""SELECT p_partkey, v AS variant_index, CASE WHEN greatest(1, p_size % 5) > 1 THEN 'p' || p_partkey || '_v' || printf('%02d', v) ELSE 'p' || p_partkey END AS unit
+  FROM (SELECT p_partkey, p_size, unnest(range(b, b + greatest(1, p_size % 5))) AS v FROM (SELECT *, b FROM part, (VALUES (0), (98)) AS t(b)))""")
 def fan_out_variants(spark, d):
-    units = jobs.fan_out_variants(table(spark, d, "part").select("p_partkey", (F.col("p_size") % 5).alias("variants")), "variants")
+    """The variants of a first round, and of a later one whose numbers have three digits."""
+    some = table(spark, d, "part").select("p_partkey", (F.col("p_size") % 5).alias("variants"))
+    units = jobs.fan_out_variants(some, "variants").unionByName(jobs.fan_out_variants(some, "variants", offset=98))
     id_ = F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
     return units.select("p_partkey", "variant_index", jobs.unit_name(id_, F.col("variant_index"), F.greatest(F.lit(1), "variants") > 1).alias("unit"))
 
 
+STEMS = "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'kick-' || o_custkey WHEN 1 THEN 'kick_v2-' || o_custkey || '_v' || printf('%02d', o_orderkey % 100) WHEN 2 THEN 'bass-' || o_custkey || '_v' || o_orderkey % 1000 ELSE 'bass_v' || o_custkey || '_vx' END AS stem FROM orders"
+
+
+@query(f"""SELECT o_orderkey, stem, CASE WHEN regexp_matches(stem, '_v[0-9][0-9]$') THEN stem[:-5] ELSE stem END AS drum_id, CASE WHEN regexp_matches(stem, '_v[0-9][0-9]$') THEN stem[-2:]::INTEGER ELSE -1 END AS drum_variant,
+  CASE WHEN regexp_matches(stem, '_v[0-9]+$') THEN regexp_replace(stem, '_v[0-9]+$', '') ELSE stem END AS pitched_id, CASE WHEN regexp_matches(stem, '_v[0-9]+$') THEN regexp_extract(stem, '_v([0-9]+)$', 1)::BIGINT ELSE 0 END AS pitched_variant FROM ({STEMS})""")
+def variant_suffixes(spark, d):
+    key, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    stem = F.when(key % 4 == 0, F.concat(F.lit("kick-"), cust)).when(key % 4 == 1, F.concat(F.lit("kick_v2-"), cust, F.lit("_v"), F.lpad((key % 100).cast("string"), 2, "0")))
+    stem = stem.when(key % 4 == 2, F.concat(F.lit("bass-"), cust, F.lit("_v"), (key % 1000).cast("string"))).otherwise(F.concat(F.lit("bass_v"), cust, F.lit("_vx")))
+    o = table(spark, d, "orders").select("o_orderkey", stem.alias("stem"))
+    o = o.select("o_orderkey", "stem", jobs.drum_variant(F.col("stem")).alias("a"), jobs.pitched_variant(F.col("stem")).alias("b"))
+    return o.select("o_orderkey", "stem", F.col("a.id").alias("drum_id"), F.col("a.variant").alias("drum_variant"), F.col("b.id").alias("pitched_id"), F.col("b.variant").alias("pitched_variant"))
+
+
 @query("""SELECT p_partkey, v AS variant_index FROM (SELECT p_partkey, unnest(range(0, greatest(1, p_size % 5))) AS v FROM part) u
   WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = u.p_partkey AND l.l_linenumber = u.v)""")
 def skip_existing(spark, d):
@@ -161,20 +180,44 @@ def windowed_rejections(spark, d):
     return v.groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("start"), "reason").agg(F.count("*").alias("n"))
 
 
-DRUM_VALUES = "(VALUES " + ", ".join(f"('{c}', {lo}, {hi}, {onset}, {decay}, {single}, {least})" for c, _, lo, hi, onset, decay, single, least, _, _ in profiles.DRUMS[:-1]) + ") AS p(c, lo, hi, onset, decay, single, least)"
+DRUM_VALUES = "(VALUES " + ", ".join(f"('{c}', '{kind}', {lo}, {hi}, {onset}, {decay}, {single}, {least})" for c, kind, lo, hi, onset, decay, single, least, _, _ in profiles.DRUMS[:-1]) + ") AS p(c, kind, lo, hi, onset, decay, single, least)"
 
 
-@query(f"""SELECT event_id, CASE WHEN event_type = 'error' THEN 'read_failed:x' WHEN value / 300 < coalesce(least, 0.05) THEN 'too_short' WHEN coalesce(onset, 120) > 0 AND k > coalesce(onset, 120) THEN 'slow_attack'
-  WHEN coalesce(decay, true) AND event_id % 10 > 8 THEN 'sustained_no_decay' WHEN coalesce(single, false) AND event_id % 5 = 0 THEN 'multi_hit_loop' WHEN value * 20 < coalesce(lo, 80) / 3 OR value * 20 > coalesce(hi, 12000) * 3 THEN 'off_band' END AS reason
-  FROM (SELECT *, CAST(regexp_extract(props, '"k": *(-?\\d+)', 1) AS INTEGER) AS k, ['kick', 'clap', 'hat-open', 'riser', 'unknown'][event_id % 5 + 1] AS category FROM events) LEFT JOIN {DRUM_VALUES} ON category = c""")
+@query(f"""SELECT event_id, CASE WHEN event_type = 'error' THEN 'read_failed:x' WHEN value / 300 < coalesce(least, 0.05) THEN 'too_short'
+  WHEN NOT fx AND coalesce(onset, 120) > 0 AND k > coalesce(onset, 120) THEN 'slow_attack' WHEN coalesce(decay, true) AND event_id % 10 > 8 THEN 'sustained_no_decay' WHEN coalesce(single, false) AND event_id % 7 = 0 THEN 'multi_hit_loop'
+  WHEN event_id % 11 > 1 AND NOT fx AND (value * 20 < coalesce(lo, 80) / 3 OR value * 20 > coalesce(hi, 12000) * 3) THEN 'off_band' END AS reason
+  FROM (SELECT *, coalesce(kind, 'percussive') = 'fx' AS fx FROM (SELECT *, CAST(regexp_extract(props, '"k": *(-?\\d+)', 1) AS INTEGER) AS k, ['kick', 'clap', 'hat-open', 'riser', 'unknown'][event_id % 5 + 1] AS category FROM events) LEFT JOIN {DRUM_VALUES} ON category = c)""")
 def drum_gate(spark, d):
+    """Every eleventh centroid is not a number, and the one after it infinite: neither is off the band."""
     e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     e = profiles.with_profile(e.withColumn("category", F.element_at(F.array(*map(F.lit, ("kick", "clap", "hat-open", "riser", "unknown"))), (F.col("event_id") % 5 + 1).cast("int"))))
     unread = F.when(F.col("event_type") == "error", "read_failed:x")
-    reason = profiles.drum_reason(unread, F.lit(None).cast("string"), F.col("value") / 300, F.col("k"), (F.col("event_id") % 10 - 8) * 0.61, (F.col("event_id") % 5 == 0).cast("int"), F.col("value") * 20)
+    centroid = F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).when(F.col("event_id") % 11 == 1, F.lit(float("inf"))).otherwise(F.col("value") * 20)
+    reason = profiles.drum_reason(unread, F.lit(None).cast("string"), F.col("value") / 300, F.col("k"), (F.col("event_id") % 10 - 8) * 0.61, (F.col("event_id") % 7 == 0).cast("int"), centroid)
     return e.select("event_id", reason.alias("reason"))
 
 
+PITCHED_VALUES = "(VALUES " + ", ".join(f"('{c}', {least})" for c, _, _, _, _, least, _, _, _ in profiles.PITCHED) + ") AS p(c, least)"
+
+
+@query(f"""SELECT event_id, reason, CASE WHEN reason IS NULL THEN round_even(sure * sure * exp(-abs(off) / 50) * least(1.0, sustain / least_), 4)::DOUBLE END AS score FROM (SELECT *, CASE WHEN event_type = 'error' THEN 'read_failed:x' WHEN value < 20 THEN 'silent'
+  WHEN k % 13 = 0 THEN 'no_onset' WHEN k * 4 > 300 THEN 'slow_onset' WHEN event_id % 17 = 0 THEN 'short_body' WHEN event_id % 19 = 0 THEN 'rms_zero' WHEN sustain < least_ THEN 'short_stab' WHEN NOT effect AND event_id % 23 = 0 THEN 'no_voiced_frames'
+  WHEN NOT effect AND confidence < 0.3 THEN 'unconfident' WHEN NOT effect AND abs(cents) > CASE WHEN k % 2 = 0 THEN 50 ELSE 9999 END THEN 'wrong_pitch' WHEN event_id % 29 = 0 THEN 'polyphonic' END AS reason,
+  CASE WHEN effect THEN 1.0 ELSE greatest(confidence, 1e-6) END AS sure, CASE WHEN effect THEN 0.0 ELSE cents END AS off FROM
+  (SELECT *, least AS least_, value / 250 AS sustain, event_id % 10 / 10 AS confidence, event_id % 160 - 80 AS cents, event_id % 6 = 0 AS effect FROM
+  (SELECT *, CAST(regexp_extract(props, '"k": *(-?\\d+)', 1) AS INTEGER) AS k, ['pads', 'basses', 'plucks', 'organs', 'bells'][event_id % 5 + 1] AS category FROM events) JOIN {PITCHED_VALUES} ON category = c))""")
+def pitched_gate(spark, d):
+    """The pitched cascade with its score; every sixth event is an effect, without pitch to check."""
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = profiles.with_config(e.withColumn("category", F.element_at(F.array(*map(F.lit, ("pads", "basses", "plucks", "organs", "bells"))), (F.col("event_id") % 5 + 1).cast("int"))))
+    key, k, sustain, confidence, cents, effect = F.col("event_id"), F.col("k"), F.col("value") / 250, (F.col("event_id") % 10) / 10, F.col("event_id") % 160 - 80, F.col("event_id") % 6 == 0
+    unread, silent = F.when(F.col("event_type") == "error", "read_failed:x"), F.when(F.col("value") < 20, "silent")
+    body, loudest = F.when(key % 17 == 0, 0.01).otherwise(1.0), F.when(key % 19 == 0, 0.0).otherwise(0.5)
+    reason = profiles.pitched_reason(unread, silent, F.when(k % 13 != 0, k * 4), body, loudest, sustain, key % 23 != 0, confidence, cents, key % 29 == 0, F.when(k % 2 == 0, 50).otherwise(9999), effect)
+    e = e.withColumn("reason", reason)
+    return e.select("event_id", "reason", F.when(F.col("reason").isNull(), profiles.pitched_candidate_score(confidence, cents, sustain, effect)).alias("score"))
+
+
 # --- retries ---------------------------------------------------------------------------------------------------
 
 JOBS = "SELECT o_orderkey AS id, o_orderpriority AS category, o_custkey AS prompt, o_orderstatus = 'F' AS won FROM orders"
@@ -224,7 +267,7 @@ def listing_differences(spark, d):
 
 # --- zones -----------------------------------------------------------------------------------------------------
 
-INSTRUMENTS = "SELECT p_brand, list_sort(list_distinct(list(CAST(30 + p_size % 60 AS INTEGER)))) AS sources FROM part WHERE p_size % 6 = 0 GROUP BY 1"
+INSTRUMENTS = "SELECT p_brand, list_sort(list_distinct(list(CAST(30 + p_size % 60 AS INTEGER)))) AS sources FROM part GROUP BY 1"
 ROOTS = f"SELECT p_brand, sources, unnest(list_sort(list_distinct(list_concat(sources, range(greatest(list_min(sources) - 12, 0), least(list_max(sources) + 12, 127) + 1, 5)::INTEGER[])))) AS root FROM ({INSTRUMENTS})"
 ZONES = f"""SELECT p_brand, zone, root, source, coalesce((last + root) // 2 + 1, 0) AS min_midi, coalesce((root + next) // 2, 127) AS max_midi, root - source AS shift FROM
   (SELECT p_brand, root, row_number() OVER w - 1 AS zone, lag(root) OVER w AS last, lead(root) OVER w AS next,
@@ -232,7 +275,7 @@ ZONES = f"""SELECT p_brand, zone, root, source, coalesce((last + root) // 2 + 1,
 
 
 def _zones(spark, d):
-    parts = table(spark, d, "part").where("p_size % 6 = 0").groupBy("p_brand").agg(F.array_sort(F.collect_set((30 + F.col("p_size") % 60).cast("int"))).alias("sources"))
+    parts = table(spark, d, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set((30 + F.col("p_size") % 60).cast("int"))).alias("sources"))
     return zones.zone_plan(parts, "p_brand", "sources", 12, 5)
 
 
@@ -319,11 +362,26 @@ def cents_histogram(spark, d):
     return reports.histogram(_pitched(spark, d)[0], F.col("cents"))
 
 
-@query(f"""SELECT category, count(*) AS "groups", count(*) FILTER (won) AS won, round_even(100.0 * count(*) FILTER (won) / count(*), 1)::DOUBLE AS percent,
-  CASE WHEN count(*) FILTER (won) = 0 THEN 'waiting' WHEN count(*) FILTER (won) < count(*) THEN 'running' ELSE 'done' END AS status FROM ({JOBS}) GROUP BY 1""")
+PROGRESS = f"""SELECT user_id, winners, fresh, pending, CASE WHEN pending = 0 THEN 'done' WHEN winners + fresh = 0 THEN 'PENDING' ELSE 'partial' END AS status FROM
+  (SELECT user_id, count(*) FILTER (reason IS NULL) AS winners, count(*) FILTER (reason IS NOT NULL AND NOT contains(reason, 'read_failed')) AS fresh, count(*) FILTER (contains(reason, 'read_failed')) AS pending FROM
+  (SELECT CASE WHEN user_id % 10 = 0 AND event_type = 'error' THEN -user_id ELSE user_id END AS user_id, reason FROM ({VERDICTS}) WHERE user_id % 10 > 0 OR event_type <> 'view') GROUP BY 1)"""
+
+
+def _progress(spark, d):
+    """Every tenth user's unread files are a category of their own, so that each status occurs."""
+    v = _verdicts(spark, d).where("user_id % 10 > 0 or event_type <> 'view'")
+    apart = (F.col("user_id") % 10 == 0) & (F.col("event_type") == "error")
+    return reports.progress(v.withColumn("user_id", F.when(apart, -F.col("user_id")).otherwise(F.col("user_id"))), "user_id")
+
+
+@query(PROGRESS)
 def gate_progress(spark, d):
-    j, won = _jobs(spark, d)
-    return reports.progress(j, won, "category")
+    return _progress(spark, d)
+
+
+@query(f"SELECT count(*) FILTER (status = 'done') AS done, count(*) AS categories, sum(winners + fresh)::BIGINT AS judged, sum(winners + fresh + pending)::BIGINT AS jobs, round_even(100.0 * sum(winners + fresh) / sum(winners + fresh + pending), 1)::DOUBLE AS percent FROM ({PROGRESS})")
+def gate_progress_total(spark, d):
+    return reports.progress_total(_progress(spark, d))
 
 
 @query("SELECT round(avg(value), 6) AS mean_seconds, h::DOUBLE AS hourly, round(avg(value) * 1000 / 3600 * h, 4)::DOUBLE AS price FROM events, (VALUES (0.86), (1.19), (1.80)) AS t(h) GROUP BY h")
@@ -350,10 +408,11 @@ def payload_digest(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("bytes"))
 
 
-@query(f"SELECT lang, norm, count(*) AS sources, arg_min(prompt, doc_id * 1000000 + line_no) AS prompt FROM (SELECT *, {NORM} AS norm FROM ({LINES})) GROUP BY 1, 2 HAVING count(*) > 1")
+@query(f"SELECT lang, prompt, count(*) AS sources, min(doc_id * 1000000 + line_no)::BIGINT AS first FROM ({LINES}) GROUP BY 1, 2 HAVING count(*) > 1")
 def instruments(spark, d):
-    lines = _lines(spark, d).withColumn("norm", scalars.normalized(F.col("prompt")))
-    return lines.groupBy("lang", "norm").agg(F.count("*").alias("sources"), F.min_by("prompt", F.struct("doc_id", "line_no")).alias("prompt")).where("sources > 1")
+    """Sources with the very same prompt make one instrument."""
+    out = _lines(spark, d).groupBy("lang", "prompt").agg(F.count("*").alias("sources"), F.min(F.col("doc_id") * 1000000 + F.col("line_no")).alias("first"))
+    return out.where("sources > 1")
 
 
 @query(r"SELECT page_id, path, NOT regexp_matches(path, '(^|/)[_.]') AS kept FROM (SELECT page_id, regexp_replace(url, '^[a-z]+://[^/]*/', '') AS path FROM pages)")
@@ -420,11 +479,30 @@ def _signals(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
 
 
-@query(f"""SELECT vec_id, CASE WHEN max(abs(v)) < 1e-4 THEN 'silent' WHEN avg(CASE WHEN abs(v) >= 0.999 THEN 1 ELSE 0 END) > 0.01 THEN 'clipped' WHEN abs(avg(v)) > 0.1 * max(abs(v)) THEN 'dc_offset' END AS reason,
-  round(max(abs(v)) / sqrt(avg(v * v)), 6) AS crest, max(abs(v)) AS peak FROM ({CELLS}) GROUP BY vec_id""")
+#: Every fourth signal has a silent right channel, every fifth is twice as loud and cut at 1, every seventh has one too faint.
+STEREO = f"SELECT vec_id, i, l, CASE WHEN vec_id % 4 = 0 THEN 0 WHEN vec_id % 7 = 0 THEN l / 1000 ELSE l END AS r FROM (SELECT vec_id, i, CASE WHEN vec_id % 5 = 0 THEN greatest(least(20 * v, 1.0), -1.0) ELSE v END AS l FROM ({CELLS}))"
+
+
+def _stereo(spark, d):
+    key = F.col("vec_id")
+    s = _signals(spark, d).withColumn("l", F.transform("x", lambda v: F.when(key % 5 == 0, F.greatest(F.least(20 * v, F.lit(1.0)), F.lit(-1.0))).otherwise(v)))
+    return s.withColumn("r", F.transform("l", lambda v: F.when(key % 4 == 0, F.lit(0.0)).when(key % 7 == 0, v / 1000).otherwise(v)))
+
+
+@query(f"""SELECT vec_id, CASE WHEN max(abs(m)) < 1e-4 THEN 'silent' WHEN abs(avg(m)) > 0.1 * max(abs(m)) THEN 'dc_offset' WHEN avg(CASE WHEN abs(m) >= 0.999 THEN 1 ELSE 0 END) > 0.01 THEN 'clipped'
+  WHEN least(max(abs(l)), max(abs(r))) < 1e-4 AND greatest(max(abs(l)), max(abs(r))) > 1e-4 THEN 'dead_channel' END AS reason, round(max(abs(l)) / sqrt(avg(l * l)), 6) AS crest, max(abs(l)) AS peak FROM (SELECT *, (l + r) / 2 AS m FROM ({STEREO})) GROUP BY vec_id""")
 def signal_prefilter(spark, d):
-    s, x = _signals(spark, d), F.col("x")
-    return s.select("vec_id", arrays.prefilter_reason(x).alias("reason"), F.round(arrays.crest(x), 6).alias("crest"), arrays.peak(x).alias("peak"))
+    left, right = F.col("l"), F.col("r")
+    return _stereo(spark, d).select("vec_id", arrays.prefilter_reason(left, right).alias("reason"), F.round(arrays.crest(left), 6).alias("crest"), arrays.peak(left).alias("peak"))
+
+
+@query(f"""SELECT vec_id, CASE WHEN greatest(max(abs(l)), max(abs(r))) < 0.01 THEN 'silent' WHEN abs(avg(l) + avg(r)) / 2 > 0.01 THEN 'dc_offset' WHEN (avg(CASE WHEN abs(l) >= 0.999 THEN 1 ELSE 0 END) + avg(CASE WHEN abs(r) >= 0.999 THEN 1 ELSE 0 END)) / 2 > 1e-4 THEN 'clipped'
+  WHEN max(abs(l)) > 0 AND max(abs(r)) > 0 AND 10 * abs(log10(avg(l * l) / avg(r * r))) > 40 THEN 'dead_channel' END AS reason FROM (SELECT vec_id, l - h AS l, r - h AS r FROM (SELECT *, CASE WHEN vec_id % 3 = 0 THEN 0 ELSE (avg(l) OVER w + avg(r) OVER w) / 2 END AS h FROM ({STEREO}) WINDOW w AS (PARTITION BY vec_id))) GROUP BY vec_id""")
+def pitched_prefilter(spark, d):
+    """The pitched gate's cheap rejects; two of three signals have their offset taken off first."""
+    s = _stereo(spark, d).withColumn("h", F.when(F.col("vec_id") % 3 == 0, 0.0).otherwise((arrays.total(F.col("l")) + arrays.total(F.col("r"))) / (2 * F.size("l"))))
+    s = s.select("vec_id", *(F.transform(c, lambda v: v - F.col("h")).alias(c) for c in "lr"))
+    return s.select("vec_id", arrays.pitched_prefilter_reason(F.col("l"), F.col("r")).alias("reason"))
 
 
 RUNS = f"""SELECT vec_id, min(i) - 1 AS start, count(*) AS length FROM (SELECT vec_id, i, i - row_number() OVER (PARTITION BY vec_id ORDER BY i) AS g FROM ({CELLS}) WHERE v >= 0) GROUP BY vec_id, g"""

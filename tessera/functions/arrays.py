@@ -32,9 +32,29 @@ def pregate_reason(x: Column) -> Column:
     return F.when(F.size(x) == 0, "empty").when(bad, "nan_or_inf").when(peak(x) < 1e-4, "silent").when(share(x, lambda v: F.abs(v) >= 0.999) > 0.01, "clipped")
 
 
-def prefilter_reason(x: Column, silent: float = 1e-4, dc_of_peak: float = 0.1, clipped: float = 0.01) -> Column:
-    mean = total(x) / F.size(x)
-    return F.coalesce(pregate_reason(x), F.when(peak(x) < silent, "silent").when(F.abs(mean) > dc_of_peak * peak(x), "dc_offset").when(share(x, lambda v: F.abs(v) >= 0.999) > clipped, "clipped"))
+def _not_finite(x: Column) -> Column:
+    return F.exists(x, lambda v: F.isnan(v) | (F.abs(v) == float("inf")))
+
+
+def prefilter_reason(left: Column, right: Column | None = None) -> Column:
+    """The drum gate's cheap rejects, in its order: level, offset and clipping of the mix, then a dead channel."""
+    x = left if right is None else mono(left, right)
+    bad = _not_finite(left) if right is None else _not_finite(left) | _not_finite(right)
+    out = F.when(F.size(left) == 0, "empty").when(bad, "nan_or_inf").when(peak(x) < 1e-4, "silent")
+    out = out.when(F.abs(total(x) / F.size(x)) > 0.1 * peak(x), "dc_offset").when(share(x, lambda v: F.abs(v) >= 0.999) > 0.01, "clipped")
+    return out if right is None else out.when((F.least(peak(left), peak(right)) < 1e-4) & (F.greatest(peak(left), peak(right)) > 1e-4), "dead_channel")
+
+
+def pitched_prefilter_reason(left: Column, right: Column | None = None) -> Column:
+    """The pitched gate's: over all channels, a peak under -40 dB, an offset over 0.01, one sample in 10,000 clipped;
+    then channels whose levels are more than 40 dB apart."""
+    x = left if right is None else F.concat(left, right)
+    out = F.when(F.size(x) == 0, "empty").when(_not_finite(x), "nan_or_inf").when(peak(x) < 0.01, "silent")
+    out = out.when(F.abs(total(x) / F.size(x)) > 0.01, "dc_offset").when(share(x, lambda v: F.abs(v) >= 0.999) > 1e-4, "clipped")
+    if right is None:
+        return out
+    a, b = rms(left), rms(right)
+    return out.when((a > 0) & (b > 0) & (20 * F.log10(F.greatest(a, b) / F.least(a, b)) > 40), "dead_channel")
 
 
 def longest_run(x: Column, test) -> Column:

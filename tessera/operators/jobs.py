@@ -10,10 +10,15 @@ from ..functions.scalars import normalized, short_id
 from ..scratch import kept
 
 
+#: Where a text is split to lines, and what is taken off both ends of a line (all Unicode white space).
+LINE_END = r"\r\n|[\n\x0B\x0C\r\x1C-\x1E\x85\u2028\u2029]"
+BLANK = r"[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def prompt_lines(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """Lines in order, from 1; blank lines and those that begin with # go but keep their number."""
-    lines = texts.select(*keys, F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
-    return lines.select(*keys, (F.col("at") + 1).alias("line_no"), F.trim("line").alias("prompt")).where((F.length("prompt") > 0) & ~F.startswith("prompt", F.lit("#")))
+    lines = texts.select(*keys, F.posexplode(F.split(F.col(text), LINE_END)).alias("at", "line"))
+    return lines.select(*keys, (F.col("at") + 1).alias("line_no"), F.regexp_replace("line", f"^{BLANK}+|{BLANK}+$", "").alias("prompt")).where((F.length("prompt") > 0) & ~F.startswith("prompt", F.lit("#")))
 
 
 def first_of_each(df: DataFrame, by: list[Column | str], order: list[Column | str]) -> DataFrame:
@@ -66,7 +71,21 @@ def fan_out_variants(jobs: DataFrame, variants: str, offset: int = 0) -> DataFra
 
 
 def unit_name(id_: Column, variant: Column, many: Column) -> Column:
-    return F.when(many, F.concat(id_, F.lit("_v"), F.lpad(variant.cast("string"), 2, "0"))).otherwise(id_)
+    """The id with two digits or more of the variant; numbers over 99 stay whole."""
+    digits = variant.cast("string")
+    return F.when(many, F.concat(id_, F.lit("_v"), F.when(variant < 10, F.concat(F.lit("0"), digits)).otherwise(digits))).otherwise(id_)
+
+
+def drum_variant(stem: Column) -> Column:
+    """(id, variant) of a file name's stem that ends with _v and two digits; the whole stem and -1 otherwise."""
+    found = F.regexp_extract(stem, r"_v(\d{2})$", 1)
+    return F.struct(F.when(found == "", stem).otherwise(F.substring(stem, F.lit(1), F.length(stem) - 4)).alias("id"), F.when(found == "", -1).otherwise(F.try_to_number(found, F.lit("99"))).cast("int").alias("variant"))
+
+
+def pitched_variant(stem: Column) -> Column:
+    """(id, variant) of a stem that ends with _v and digits, whatever their number; the whole stem and 0 otherwise."""
+    found = F.regexp_extract(stem, r"_v(\d+)$", 1)
+    return F.struct(F.when(found == "", stem).otherwise(F.substring(stem, F.lit(1), F.length(stem) - F.length(found) - 2)).alias("id"), F.coalesce(F.when(found != "", found).cast("long"), F.lit(0).cast("long")).alias("variant"))
 
 
 def not_there(units: DataFrame, existing: DataFrame, on: list[str]) -> DataFrame:

@@ -55,10 +55,21 @@ def report_lines(report: DataFrame, category: str) -> DataFrame:
     return report.orderBy(category).select(F.concat_ws(" | ", F.col(category), F.col("winners").cast("string"), percent(F.col("survival")), percent(F.col("class_accuracy")), bar(F.col("winners"), total)).alias("line"))
 
 
-def progress(groups: DataFrame, winners: DataFrame, category: str, stale_before: Column | None = None) -> DataFrame:
-    seen = groups.join(winners.select("id", *([F.lit(True).alias("won")])).distinct(), "id", "left")
-    out = seen.groupBy(category).agg(F.count("*").alias("groups"), F.count("won").alias("won"))
-    return out.withColumn("percent", F.bround(100 * F.col("won") / F.col("groups"), 1)).withColumn("status", F.when(F.col("won") == 0, "waiting").when(F.col("won") < F.col("groups"), "running").otherwise("done"))
+def progress(verdicts: DataFrame, category: str, passed: str = "passed", reason: str = "reason") -> DataFrame:
+    """Per category: winners, failures that were judged, and those still pending because their file could not be read.
+
+    A category is done when none is pending, PENDING when nothing else is there, and partial in between.
+    """
+    unread = F.coalesce(F.contains(F.col(reason), F.lit("read_failed")), F.lit(False))
+    out = verdicts.groupBy(category).agg(F.count_if(F.col(passed)).alias("winners"), F.count_if(~F.col(passed) & ~unread).alias("fresh"), F.count_if(~F.col(passed) & unread).alias("pending"))
+    status = F.when(F.col("pending") == 0, "done").when(F.col("winners") + F.col("fresh") == 0, "PENDING").otherwise("partial")
+    return out.withColumn("status", status)
+
+
+def progress_total(progress: DataFrame) -> DataFrame:
+    """One row: categories done and all, jobs judged and all, and their share in percent."""
+    judged, all_ = F.sum(F.col("winners") + F.col("fresh")), F.sum(F.col("winners") + F.col("fresh") + F.col("pending"))
+    return progress.agg(F.count_if(F.col("status") == "done").alias("done"), F.count("*").alias("categories"), F.coalesce(judged, F.lit(0)).alias("judged"), F.coalesce(all_, F.lit(0)).alias("jobs"), F.coalesce(F.bround(F.try_divide(100.0 * judged, all_), 1), F.lit(0.0)).alias("percent"))
 
 
 def price_table(times: DataFrame, seconds: str, samples: int, hourly: tuple[float, ...] = (0.86, 1.19, 1.80)) -> DataFrame:

@@ -34,6 +34,9 @@ def new_rows(rows: DataFrame, seen: DataFrame) -> DataFrame:
 def until_target(jobs: DataFrame, run: Callable[[DataFrame, int], DataFrame], author: Callable[[DataFrame, int], DataFrame], target: int, max_retries: int = 2, max_top_ups: int = 3, margin: int = 25, width: int = 64, keep: Callable[[DataFrame, str], DataFrame] = kept) -> tuple[DataFrame, DataFrame, list[dict]]:
     """Rounds until every category has ``target`` surviving prompts or no attempt is left.
 
+    Without a target (0 or less) failed jobs are tried again up to ``max_retries`` times and nothing is authored. The
+    log's last entry names the categories that are stuck short of the target.
+
     ``run(jobs, variant_offset)`` returns winners (id); ``author(short, round)`` returns new jobs for the rows of
     ``assess`` that are short. Failed jobs are tried again up to ``max_retries`` times between top-ups. State is a
     table a round, written by ``keep``; the driver holds a row for each category (their number is fixed).
@@ -44,8 +47,8 @@ def until_target(jobs: DataFrame, run: Callable[[DataFrame, int], DataFrame], au
     for round_ in range(max_retries + max_top_ups + 2):
         won = run(todo, round_ * width).select("id")
         winners = keep(won.distinct() if winners is None else winners.unionByName(won).distinct(), "winners")
-        short = [r.asDict() for r in assess(jobs, winners, target, margin).where("short").collect()]
-        log.append({"round": round_, "short": len(short)})
+        short = [r.asDict() for r in assess(jobs, winners, target, margin).where("short" if target > 0 else "failed_jobs > 0").collect()]
+        log.append({"round": round_, "short": len(short), "stuck": []})
         if not short:
             break
         again, more = [], []
@@ -54,9 +57,12 @@ def until_target(jobs: DataFrame, run: Callable[[DataFrame, int], DataFrame], au
             if s["retries"] < max_retries and r["failed_jobs"]:
                 s["retries"] += 1
                 again.append(r["category"])
-            elif s["top_ups"] < max_top_ups:
+            elif target > 0 and s["top_ups"] < max_top_ups:
                 s["top_ups"], s["retries"] = s["top_ups"] + 1, 0
                 more.append(r["category"])
+            else:
+                log[-1]["stuck"].append(r["category"])
+        log[-1]["stuck"].sort()
         if not again and not more:
             break
         todo = failed_rows(jobs, winners).where(F.col("category").isin(again)).select(*jobs.columns)

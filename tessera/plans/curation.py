@@ -17,6 +17,10 @@ from ..sources import wav
 RATE = 8000
 
 
+#: Seconds of sustain that a synthesised sample must have.
+LEAST_SUSTAIN = 0.05
+
+
 def synthesise(target: float, seed: int, seconds: float) -> np.ndarray:
     """A tone with a decay and a little noise; every ninth seed is silent and every seventh clipped."""
     x = dsp.tone(target, seconds, RATE) * np.exp(-3 * np.arange(int(seconds * RATE)) / RATE)
@@ -51,9 +55,10 @@ def _kernel(x: np.ndarray, rate: int) -> dict:
 def gated(wavs: DataFrame) -> DataFrame:
     """A verdict for each signal: metrics, the first failed check, whether it passed and its score."""
     met = wav.measured(wavs.withColumn("key", F.struct("id", "variant_index", "target")).select("key", "content"), _kernel, "duration double, peak double, clipped double, sustain double, decay double, midi double, confidence double", key="key")
-    reason = F.coalesce("read_error", first_failure(("silent", F.col("peak") < 1e-4), ("clipped", F.col("clipped") > 0.01), ("no_sustain", F.col("sustain") < 0.05), ("unconfident", F.col("confidence") < 0.3)))
+    reason = F.coalesce("read_error", first_failure(("silent", F.col("peak") < 1e-4), ("clipped", F.col("clipped") > 0.01), ("rms_zero", F.col("decay").isNull()), ("short_stab", F.col("sustain") < LEAST_SUSTAIN), ("unconfident", F.col("confidence") < 0.3)))
     off = F.col("midi") - F.col("key.target")
-    score = F.pow("confidence", F.lit(2)) * F.exp(-F.abs(100 * (off - 12 * F.bround(off / 12))) / 50)
+    quality = F.least(F.lit(1.0), F.col("sustain") / LEAST_SUSTAIN)
+    score = F.pow("confidence", F.lit(2)) * F.exp(-F.abs(100 * (off - 12 * F.bround(off / 12))) / 50) * quality
     return met.select("key.*", "midi", "confidence", "sustain", reason.alias("reason"), reason.isNull().alias("passed"), F.bround(score, 4).alias("score"))
 
 

@@ -102,19 +102,33 @@ def with_config(df: DataFrame, category: str = "category", several: bool = True)
 
 
 def drum_reason(read_error: Column, prefilter: Column, duration: Column, onset_ms: Column, decay: Column, reattacks: Column, centroid: Column) -> Column:
-    """The first check of a drum that fails, in order of cost; profile columns are read from the row."""
+    """The first check of a drum that fails, in order of cost; profile columns are read from the row. Effects have no
+    onset and no band; a centroid that is null, infinite or not a number is in no band and out of none."""
+    fx, known = F.col("kind") == "fx", centroid.isNotNull() & ~F.isnan(centroid) & (F.abs(centroid) < float("inf"))
     return F.coalesce(
         read_error, prefilter,
         first_failure(
-            ("too_short", duration < F.col("min_duration")), ("slow_attack", (F.col("max_onset_ms") > 0) & (onset_ms > F.col("max_onset_ms"))), ("sustained_no_decay", F.col("expect_decay") & (decay > 0.6)),
-            ("multi_hit_loop", F.col("single_hit") & (reattacks >= 1)), ("off_band", (centroid < F.col("centroid_lo") / 3) | (centroid > F.col("centroid_hi") * 3)),
+            ("too_short", duration < F.col("min_duration")), ("slow_attack", ~fx & (F.col("max_onset_ms") > 0) & (onset_ms > F.col("max_onset_ms"))), ("sustained_no_decay", F.col("expect_decay") & (decay > 0.6)),
+            ("multi_hit_loop", F.col("single_hit") & (reattacks >= 1)), ("off_band", known & ~fx & ((centroid < F.col("centroid_lo") / 3) | (centroid > F.col("centroid_hi") * 3))),
         ),
     )
 
 
-def pitched_reason(read_error: Column, prefilter: Column, onset_ms: Column, sustain: Column, voiced: Column, confidence: Column, polyphonic: Column) -> Column:
-    """The order is: prefilter, onset, sustain, pitch, polyphony."""
+def pitched_reason(read_error: Column, prefilter: Column, onset_ms: Column, body: Column, loudest: Column, sustain: Column, voiced: Column, confidence: Column, cents: Column, polyphonic: Column, tolerance: Column, effect: Column) -> Column:
+    """The first check of a pitched sample that fails: prefilter, onset (null: none was found), sustain (``body`` are
+    the seconds after the onset), pitch, polyphony. An ``effect`` has no pitch to check; a tolerance that no offset
+    reaches leaves pitch measured but unjudged."""
     return F.coalesce(
         read_error, prefilter,
-        first_failure(("slow_onset", onset_ms > 300), ("no_sustain", sustain < F.col("min_sustain")), ("no_voiced_frames", ~voiced), ("unconfident", confidence < 0.3), ("polyphonic", polyphonic)),
+        first_failure(
+            ("no_onset", onset_ms.isNull()), ("slow_onset", onset_ms > 300), ("short_body", body < 0.05), ("rms_zero", loudest <= 0), ("short_stab", sustain < F.col("min_sustain")),
+            ("no_voiced_frames", ~effect & ~voiced), ("unconfident", ~effect & (confidence < 0.3)), ("wrong_pitch", ~effect & (F.abs(cents) > tolerance)), ("polyphonic", polyphonic),
+        ),
     )
+
+
+def pitched_candidate_score(confidence: Column, cents: Column, sustain: Column, effect: Column) -> Column:
+    """Confidence squared, nearness in cents and the share of the wanted sustain; an effect counts as sure and in tune."""
+    sure = F.greatest(F.when(effect, F.lit(1.0)).otherwise(confidence), F.lit(1e-6))
+    near = F.exp(-F.abs(F.when(effect, F.lit(0.0)).otherwise(cents)) / 50)
+    return F.bround(sure * sure * near * F.least(F.lit(1.0), sustain / F.greatest(F.col("min_sustain"), F.lit(1e-3))), 4)

@@ -184,3 +184,59 @@ def test_prompt_file_and_rows(spark, tmp_path):
     assert sinks.prompt_file(lines).first().text == "# k: 3 prompts\n\n# --- curated ---\na\n\n# --- generated ---\nb\nc\n"
     sinks.write_json_rows(lines, str(tmp_path / "j"), ["place"])
     assert json_rows(spark, str(tmp_path / "j"), "prompt string", strict=True).count() == 3
+
+
+def test_prompt_lines_are_split_and_stripped_as_python_does(spark):
+    text = "one\r\n\t# gone\r\n\u00a0two\u2003\x0bthree\x85 #four\u2028\x1cfive \rsix\t\n\n  \n#"
+    got = [r.prompt for r in jobs.prompt_lines(spark.createDataFrame([(1, text)], "k int, text string"), ["k"]).orderBy("line_no").collect()]
+    assert got == [x.strip() for x in text.splitlines() if x.strip() and not x.strip().startswith("#")]
+
+
+def test_unit_names_and_back(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("kick-ab", v) for v in (0, 9, 10, 99, 100, 128, 1234)], "id string, v int")
+    units = df.select("id", "v", jobs.unit_name(F.col("id"), F.col("v"), F.lit(True)).alias("stem"))
+    rows = units.select("*", jobs.pitched_variant(F.col("stem")).alias("p"), jobs.drum_variant(F.col("stem")).alias("d")).collect()
+    assert len({r.stem for r in rows}) == len(rows) and all((r.p.id, r.p.variant) == (r.id, r.v) for r in rows)
+    assert {r.v: (r.d.id, r.d.variant) for r in rows if r.v < 100} == {v: ("kick-ab", v) for v in (0, 9, 10, 99)}
+    odd = spark.createDataFrame([("a_v1",), ("b",), ("_v22",), ("x_v",), (None,)], "s string")
+    assert [tuple(r[0]) for r in odd.select(jobs.drum_variant(F.col("s"))).collect()] == [("a_v1", -1), ("b", -1), ("", 22), ("x_v", -1), (None, None)]
+
+
+def test_retries_without_a_target_and_stuck_ones(spark):
+    rows = spark.createDataFrame([(f"{c}{i}", c, f"{c} prompt {i}") for c in "ab" for i in range(6)], "id string, category string, prompt string")
+    tries = []
+
+    def run(todo, offset):
+        tries.append((offset, sorted(r.id for r in todo.collect())))
+        return todo.where(f"category = 'a' and substr(id, 2) <= {offset // 64}").select("id")
+
+    jobs_, winners, log = retry.until_target(rows, run, lambda short, n: short.sparkSession.createDataFrame([], rows.schema), target=0)
+    assert [o for o, _ in tries] == [0, 64, 128] and sorted(r.id for r in winners.collect()) == ["a0", "a1", "a2"]
+    assert jobs_.count() == 12 and tries[1][1] == [f"a{i}" for i in range(1, 6)] + [f"b{i}" for i in range(6)] and log[-1]["stuck"] == ["a", "b"]
+
+
+def test_drum_checks_leave_effects_and_unknown_centroids(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.plans import profiles
+
+    rows = [("riser", 1e6, 500.0), ("kick", float("nan"), 1.0), ("kick", float("inf"), 1.0), ("kick", 1e5, 1.0), ("kick", 100.0, 500.0), ("nowhere", 1.0, 1.0)]
+    df = profiles.with_profile(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, category string, centroid double, onset double"))
+    none = F.lit(None).cast("string")
+    got = df.select("i", profiles.drum_reason(none, none, F.lit(9.0), F.col("onset"), F.lit(0.1), F.lit(0), F.col("centroid")).alias("r")).orderBy("i").collect()
+    assert [r.r for r in got] == [None, None, None, "off_band", "slow_attack", "off_band"]
+
+
+def test_prefilters_in_order(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions import arrays
+
+    wave = [0.5, -0.5] * 100
+    cases = [([], []), ([float("nan")] * 4, [0.0] * 4), ([0.0] * 4, [0.0] * 4), ([1.0] * 200, [1.0] * 200), ([1.0, -1.0] * 100, [1.0, -1.0] * 100), (wave, [0.0] * 200), (wave, [x / 1000 for x in wave]), (wave, wave)]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, l array<double>, r array<double>")
+    rows = df.select("i", arrays.prefilter_reason(F.col("l"), F.col("r")).alias("d"), arrays.pitched_prefilter_reason(F.col("l"), F.col("r")).alias("p")).orderBy("i").collect()
+    assert [r.d for r in rows] == ["empty", "nan_or_inf", "silent", "dc_offset", "clipped", "dead_channel", None, None]
+    assert [r.p for r in rows] == ["empty", "nan_or_inf", "silent", "dc_offset", "clipped", None, "dead_channel", None]
