@@ -129,50 +129,83 @@ def _check_leaders(percent: int):
     return run
 
 
-def _check_blocks(percent: int):
-    """Rows sorted by task; a task holds at most two blocks. Links across components only, as a spanning forest."""
+def _by_task(batches, columns: list[str], of_batch):
+    """Rows of one task after the other, as tuples of ``columns`` and what ``of_batch`` makes of each row."""
+    task, held = None, []
+    for batch in batches:
+        for *row, more in zip(*(batch.column(c).to_pylist() for c in columns), of_batch(batch), strict=True):
+            if row[0] != task and held:
+                yield held
+                held = []
+            task = row[0]
+            held.append((*row, more))
+    if held:
+        yield held
+
+
+TASK = ["task", "band", "cross", "id", "comp", "side"]
+
+
+def _signs(batch) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), np.uint32) for x in batch.column("sign")]
+
+
+def _partners(rows: list[tuple], signs: np.ndarray, percent: int):
+    """(place of a row, places of later rows that it may be linked with): other components, this band the first that
+    both share, enough equal minima."""
     n_bands, least = plan(percent)
+    band, cross = rows[0][1], rows[0][2]
+    comps, sides = (np.array([r[k] for r in rows]) for k in (4, 5))
+    for i in range(len(rows) - 1):
+        same = signs[i + 1 :] == signs[i]
+        bands = same.reshape(len(same), n_bands, ROWS).all(2)
+        may = (comps[i + 1 :] != comps[i]) & (same.mean(1) >= least) & (bands.argmax(1) == band) & bands[:, band]
+        if cross:
+            may &= sides[i + 1 :] != sides[i]
+        if may.any():
+            yield i, np.flatnonzero(may) + i + 1
+
+
+def _survivors(percent: int):
+    """Of the rows of each task, by signatures alone, those that may have a link there: only they need their texts."""
 
     @tidy
     def run(batches):
-        def solve(rows: list[tuple]) -> list[tuple[int, int]]:
-            band, cross = rows[0][1], rows[0][2]
-            signs = np.stack([r[6] for r in rows])
-            parent = {r[4]: r[4] for r in rows}
+        for rows in _by_task(batches, TASK, _signs):
+            found = set()
+            for i, partners in _partners(rows, np.stack([r[-1] for r in rows]), percent):
+                found.update((i, *partners.tolist()))
+            kept = [rows[i] for i in sorted(found)]
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate(kinds)], TASK)
 
-            def root(x):
-                while parent[x] != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
+    return run
 
-            found = []
-            comps = np.array([r[4] for r in rows])
-            sides = np.array([r[5] for r in rows])
-            for i, r in enumerate(rows):
-                same = signs[i + 1 :] == signs[i]
-                bands = same.reshape(len(same), n_bands, ROWS).all(2)
-                try_ = (comps[i + 1 :] != comps[i]) & (same.mean(1) >= least) & (bands.argmax(1) == band) & bands[:, band]
-                if cross:
-                    try_ &= sides[i + 1 :] != sides[i]
-                for j in np.flatnonzero(try_) + i + 1:
-                    x, y = root(r[4]), root(rows[j][4])
-                    if x != y and _alike(r[7], rows[j][7], percent):
-                        parent[max(x, y)] = min(x, y)
-                        found.append((r[3], rows[j][3]))
-            return found
-
-        task, held = None, []
-        for batch in batches:
-            found = []
-            sets = shingle_sets(batch.column("text"))
-            signs = [np.frombuffer(x.as_py(), np.uint32) for x in batch.column("sign")]
-            for *head, sign, mine in zip(*(batch.column(c).to_pylist() for c in ("task", "band", "cross", "id", "comp", "side")), signs, sets, strict=True):
-                if head[0] != task:
-                    found += solve(held) if held else []
-                    task, held = head[0], []
-                held.append((*head, sign, mine))
-            yield _edges(found)
-        yield _edges(solve(held) if held else [])
+
+def _check_blocks(percent: int):
+    """Rows sorted by task; a task holds at most two blocks. Links across components only, as a spanning forest."""
+
+    def solve(rows: list[tuple]) -> list[tuple[int, int]]:
+        parent = {r[4]: r[4] for r in rows}
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        found = []
+        for i, partners in _partners(rows, np.stack([r[-1][0] for r in rows]), percent):
+            for j in partners:
+                x, y = root(rows[i][4]), root(rows[j][4])
+                if x != y and _alike(rows[i][-1][1], rows[j][-1][1], percent):
+                    parent[max(x, y)] = min(x, y)
+                    found.append((rows[i][3], rows[j][3]))
+        return found
+
+    @tidy
+    def run(batches):
+        for rows in _by_task(batches, TASK, lambda batch: zip(_signs(batch), shingle_sets(batch.column("text")), strict=True)):
+            yield _edges(solve(rows))
 
     return run
 
@@ -227,7 +260,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     from_big = F.transform(F.sequence(F.lit(0), F.col("no") - 1), lambda i: F.struct(F.lit(True).alias("cross"), i.alias("lo"), F.col("own").alias("hi"), F.lit(1).alias("side"), F.lit(0).alias("kind")))
     tasks = rows2.select("id", "comp", "band", "key", F.explode(F.when(F.col("other"), F.concat(against_big, against_others)).otherwise(from_big)).alias("t"))
     tasks = tasks.select("id", "comp", "band", "t.cross", "t.side", F.xxhash64("band", "key", "t.kind", "t.lo", "t.hi").alias("task"))
-    second = tasks.join(texts, "id").select("task", "band", "cross", "id", "comp", "side", "sign", "text").repartition(n, "task").sortWithinPartitions("task")
+    # Every block that stands against another goes with its signatures; texts follow for rows with a likely link.
+    first_look = tasks.join(texts.select("id", "sign"), "id").select(*TASK, "sign").repartition(n, "task").sortWithinPartitions("task")
+    likely = first_look.mapInArrow(_survivors(percent), "task long, band int, cross boolean, id long, comp long, side int")
+    second = likely.join(texts, "id").select(*TASK, "sign", "text").repartition(n, "task").sortWithinPartitions("task")
     more = stored(second.mapInArrow(_check_blocks(percent), "a long, b long"), "more")
     if more.limit(1).count():
         comps = components(edges.unionByName(more))
