@@ -43,6 +43,9 @@ class Powers:
 
 
 BYTES, WORDS = Powers(BYTE_BASE), Powers(WORD_BASE)
+#: Bases of the second family, and the values of pairs of bytes.
+PAIRS, PAIR_WORDS = Powers(0xA0761D6478BD642F), Powers(0xE7037ED1A0B428DB)
+PAIR_VALUES = seeds(1 << 16, 4049)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -104,6 +107,23 @@ def run_hashes(words: np.ndarray, begin: np.ndarray, length: np.ndarray | int) -
     return mix((sums[begin + length] - sums[begin]) * down[begin] + np.asarray(length).astype(U64))
 
 
+def second_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Another hash of the bytes from each begin to its end, of one byte or more: made of pairs of bytes under other
+    values and another base, so texts that the first family takes for equal are not equal here for the same reason."""
+    pairs = data[:-1].astype(np.uint16) << np.uint16(8) | data[1:]
+    up, down = PAIRS.get(len(data) + 1)
+    sums = np.zeros(len(data), U64)
+    np.cumsum(PAIR_VALUES[pairs] * up[: len(pairs)], out=sums[1:])
+    return mix((sums[end - 1] - sums[begin]) * down[begin] + PAIR_VALUES[data[begin]] + (end - begin).astype(U64))
+
+
+def second_run_hashes(words: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
+    up, down = PAIR_WORDS.get(len(words) + 1)
+    sums = np.zeros(len(words) + 1, U64)
+    np.cumsum(words * up[:-1], out=sums[1:])
+    return mix((sums[begin + length] - sums[begin]) * down[begin] + U64(length))
+
+
 def window_starts(first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """(word index of every window that lies in one row, its row)."""
     counts = np.maximum(np.diff(first) - window + 1, 0)

@@ -47,6 +47,36 @@ def test_substring_dedup_carries_clashing_names(spark):
     assert [tuple(r) for r in out] == [(1, 3, 0, "a b c")]
 
 
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    """With first hashes of 6 bits nearly all windows collide, in a block and between blocks; the result stays right."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.llm import substring_dedup as sd
+
+    whole = sd.run_hashes
+    monkeypatch.setattr(sd, "run_hashes", lambda *a: whole(*a) & np.uint64(0xFC00000000000000))
+    random.seed(11)
+    texts = [" ".join(random.choice("abcdefghij") + str(random.randint(0, 30)) for _ in range(60)) for _ in range(12)]
+    texts += [texts[0], texts[5][:100] + " z " + texts[7], "", None]
+    labels, blocks = [0, 1, 2], {0: [0, 1, 2, 3, 4, 12], 1: [5, 6, 7, 8, 14], 2: [9, 10, 11, 13, 15]}
+    docs = {b: pa.table({"block": pa.array([b] * len(i), pa.int32()), "text": pa.array([texts[k] for k in i], pa.string()), "k": pa.array(i)}) for b, i in blocks.items()}
+    sent = pa.concat_tables([pa.Table.from_batches(list(sd._send(35, labels)(iter(t.to_batches())))) for t in docs.values()])
+
+    def by(table, column, value):
+        return table.filter(pa.compute.equal(table.column(column), value))
+
+    def answers_to(sent, round_):
+        return pa.concat_tables([sd._answer(round_)(by(sent, "bucket", k)) for k in labels if by(sent, "bucket", k).num_rows])
+
+    first = answers_to(sent, 1)
+    asked = pa.concat_tables([sd._ask_again(35, labels)(t, by(first, "block", b)) for b, t in docs.items()])
+    answers = pa.concat_tables([first, answers_to(asked, 2)])
+    assert first.num_rows and asked.num_rows
+    out = [r for b, t in docs.items() for r in sd._remove(35, labels, ["k"])(t, by(answers, "block", b)).to_pylist()]
+    assert {r["k"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in out} == dict(enumerate(windows_removed(texts, 35)))
+
+
 def test_packed_hashes_round_trip():
     import numpy as np
 
@@ -125,6 +155,24 @@ def test_near_dedup_at_the_stage_line(spark, copies):
     assert {r.doc_id for r in near_dedup(docs).where("kept").collect()} == kept[85]
 
 
+def test_blocks_send_texts_only_of_likely_rows():
+    """A bucket of many rows that are not alike: by signatures alone, all but the two that are go no further."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.llm import near_dedup as nd
+
+    rng = np.random.default_rng(2)
+    bands, _ = nd.plan(85)
+    signs = rng.integers(0, 1 << 32, (2000, bands * nd.ROWS), dtype=np.uint32)
+    signs[:, : nd.ROWS] = 7  # one band of all
+    signs[900] = signs[5]
+    n = len(signs)
+    batch = pa.RecordBatch.from_arrays([pa.array([3] * n, pa.int64()), pa.array([0] * n, pa.int32()), pa.array([False] * n), pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int32()), pa.array([x.tobytes() for x in signs], pa.binary())], [*nd.TASK, "sign"])
+    out = [r["id"] for b in nd._survivors(85)(iter([batch.slice(0, 700), batch.slice(700)])) for r in b.to_pylist()]
+    assert out == [5, 900]
+
+
 def test_near_dedup_odd_ids(spark):
     text = " ".join(f"t{i}" for i in range(30))
     rows = [(5, text), (5, text), (5, "quite another text of more than five words"), (2, "quite another text of more than five words"), (None, text), (9, text)]
