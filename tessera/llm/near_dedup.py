@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import partitions, stored, tidy
+from .scratch import forget, partitions, stored, tidy
 from .words import U64, run_hashes, seeds, slices, window_starts, word_hashes
 
 WORDS_EACH, PERCENT = 5, 85
@@ -236,6 +236,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = members.select("id").distinct()
     texts = stored(rows.join(wanted, "id", "left_semi").distinct().join(heads.select("id", "sign").join(wanted, "id", "left_semi").groupBy("id").agg(F.count("*").alias("n"), F.min("sign").alias("sign")), "id").select("id", "text", "sign", "n"), "texts")
     # An id with several texts has a signature for each: they are made anew from the texts.
+    held = texts
     texts = texts.where("n = 1").drop("n").unionByName(texts.where("n > 1").select("id", "text").mapInArrow(_sign(bands), "id long, text string, sign binary"))
 
     pairs = members.where("id <> leader").groupBy("id").agg(F.min("leader").alias("leader"))
@@ -267,6 +268,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more = stored(second.mapInArrow(_check_blocks(percent), "a long, b long"), "more")
     if more.limit(1).count():
         comps = components(edges.unionByName(more))
+    for done in (members, held, pairs, edges, more):
+        forget(done)
 
     names = of_class.select("id", "kind", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("id", "kind", F.coalesce("component", "rep").alias("component"))
     out = features.select("id", "n_shingles", "kind").join(names, ["id", "kind"], "left")

@@ -4,14 +4,17 @@
 2. For each question, expectation-maximisation on the counts of vote patterns over the whole corpus (at most
    2**labellers rows for each label, whatever the corpus) estimates how often each labeller fires on bad and on good
    documents. Where people's labels are given, those documents' posteriors are fixed to them, which anchors the rest.
-3. The posteriors label a bounded sample (SAMPLE documents of each side of each question: labelled ones first, then
-   those of smallest hash; where there are labels, good examples are labelled ones), on which a logistic scorer over hashed words, word beginnings and bucketed shape features
-   is trained; its bias is then set to the corpus's share of bad documents.
+3. The posteriors label a bounded sample: of each side of each question SAMPLE documents, labelled ones first, then
+   those of smallest hash; where there are enough labels, the good ones are labelled ones, and WEAK bad ones that only
+   the label model judges are added, with their posteriors as targets. A logistic scorer over hashed words, word beginnings and bucketed shape features is trained
+   on it; its bias is then set to the corpus's share of bad documents.
 4. The scorer rates every document.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +32,7 @@ INSULTS = (
 BITS = 20
 STARTS = (4, 5, 6, 7)
 DIMENSIONS = 1 << BITS
-SAMPLE = 4000
+SAMPLE, WEAK = 4000, 1000
 LEAST_DEVIATIONS = 4.0
 TRAIN_ROWS = 256
 #: Documents under this posterior may be examples of good ones.
@@ -225,7 +228,7 @@ def train(x: list[np.ndarray], target: np.ndarray, rounds: int = 400, ridge: flo
 
 
 def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> dict:
-    """The label models and scorers; the driver gets vote patterns and at most 4 * ``sample`` feature rows.
+    """The label models and scorers; the driver gets vote patterns and at most 2.5 * ``sample`` feature rows for each question.
 
     ``labels`` has ``id_col``, ``quality`` (0: junk) and ``toxic`` (1: toxic); nulls and ids that are not there are
     fine, and of several rows for one id the worst counts.
@@ -252,19 +255,20 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         model[name] = {"posterior": posterior, "on_bad": on_bad, "on_good": on_good, "weight": np.zeros(2 * DIMENSIONS, np.float32), "bias": -10.0}
         own = F.shiftright("votes", low).bitwiseAND((1 << n) - 1)
         least = max(SURELY_GOOD, min(posterior.values(), default=0))
-        # Labellers are blind to some bad documents, so silence is no proof: with enough labels only those are good.
         judged = min(count[label == k].sum() for k in (0, 1)) >= LEAST_LABELLED
         counts = count * (label >= 0) if judged else count
         share = float(np.clip(counts @ bad / max(counts.sum(), 1), 1e-4, 0.9999))
         side = F.lit("unsure")
         for k in (-1, 0, 1):
             for word, fits in (("bad", lambda p: p >= 0.5), ("good", lambda p, least=least: p <= least)):
-                those = sorted({m for (m, j), p in posterior.items() if j == k and fits(p) and not (judged and word == "good" and k < 0)})
+                those = sorted({m for (m, j), p in posterior.items() if j == k and fits(p)})
                 side = F.when((F.col(name) == k) & own.isin(those), word).otherwise(side)
         sided = seen.select("key", own.alias("own"), F.col(name).alias("label"), side.alias("side")).dropDuplicates(["key"])
         order = [F.col("label") < 0, F.xxhash64("key")]
-        picked = sided.where("side = 'bad'").orderBy(*order).limit(sample).union(sided.where("side = 'good'").orderBy(*order).limit(sample))
-        picked = stored(picked.select("key", "own", "label"), "picked")  # at most 2 * sample rows
+        # Labellers are blind to some bad documents, so silence is no proof: with enough labels only those are good.
+        few = [("bad", "label >= 0", sample), ("bad", "label < 0", max(1, sample * WEAK // SAMPLE)), ("good", "label >= 0", sample)] if judged else [("bad", "true", sample), ("good", "true", sample)]
+        parts = [sided.where(f"side = '{word}' and {which}").orderBy(*order).limit(n) for word, which, n in few]
+        picked = stored(functools.reduce(DataFrame.union, parts).select("key", "own", "label"), "picked")  # at most 2.5 * sample rows
         met = rows.join(F.broadcast(picked), "key").dropDuplicates(["key"]).select("key", "own", "label", "text").repartition(partitions(docs.sparkSession), "key")
         got = sorted((r["key"], posterior[r["own"], r["label"]], np.frombuffer(r["x"], np.int32)) for r in met.mapInArrow(_features, "key long, own int, label int, x binary").toLocalIterator())
         target = np.array([p for _, p, _ in got])

@@ -21,13 +21,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = spark.sparkContext.getCheckpointDir() or f"file://{_own_dir()}"
+        at = spark.sparkContext.getCheckpointDir() or f"file://{_own_dir(spark)}"
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
-def _own_dir() -> str:
-    """A folder that goes when this process ends."""
+def _own_dir(spark: SparkSession) -> str:
+    """A folder that goes when this process ends; only for one machine, as executors elsewhere would not see it."""
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     at = tempfile.mkdtemp(prefix="tessera-")
     atexit.register(shutil.rmtree, at, True)
     return at

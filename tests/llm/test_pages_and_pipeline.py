@@ -255,3 +255,52 @@ def test_pages_without_any_mark_by_induction_alone(spark):
         pages.append((i, "http://plain.example/", "<body><table><tr><td>Home</td><td>Products</td></tr></table><div><div>Breaking offers</div>" + "".join(f"<p>{x}</p>" for x in story) + "</div><div>Call 555</div><div>All rights reserved</div></body>"))
     got = {r.page_id: r.text for r in page_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert got == want
+
+
+def test_run_against_brute_force(spark, sf_dir):
+    """Every stage after the trained one, by plain Python over what the classifier kept."""
+    import corpus_pipeline as pipeline
+    from test_dedup import reachable, shingles, windows_removed
+    from test_texts import WORD_OF, hits
+
+    from tessera.llm.pieces import Pieces
+
+    got = {r.doc_id: (r.text, r.ids, r.lang, r.source) for r in pipeline.run(spark, sf_dir).collect()}
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = {r.doc_id: r for r in pipeline.quality(spark, raw, sf_dir).collect()}
+    sets = {i: shingles(r.text) for i, r in docs.items()}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    kept = [i for i, c in reachable(sets, links).items() if i == c]
+    texts = dict(zip(kept, (t for _, _, t in windows_removed([docs[i].text for i in kept], 35)), strict=True))
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    found = hits(list(texts.items()), items, places=True)
+    import public_tokenizers
+
+    library = Pieces(public_tokenizers.path("piece_bpe_32k.model")).library
+    want = {}
+    for i, text in texts.items():
+        n, hit = found[i]
+        if hit and 20 * len(hit) >= n:
+            continue
+        if hit:  # each word goes with what stands before it
+            ends = [m.end() for m in re.finditer(WORD_OF, text)]
+            cuts = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            text = "".join(c for k, c in enumerate(cuts) if k not in hit) + text[ends[-1] :]
+        want[i] = (text, library.encode(text, add_eos=True), docs[i].lang, docs[i].source)
+    assert len(want) < len(docs) < raw.count()
+    assert got == want
+
+
+def test_pipeline_stages_take_odd_rows(spark, sf_dir):
+    """Nulls, empty and repeated texts, tied ids, no rows at all, a column that a stage uses itself."""
+    import corpus_pipeline as pipeline
+
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = [(1, None, "en", "s", None), (2, "", None, "s", 0), (3, text, "en", None, 5), (3, text, "en", "t", 5), (None, text + " end", "en", "s", 1), (9, "one two", "de", "s", 7)]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, k1 string")
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        found = out.collect()
+        assert stage(spark, docs.where("false"), sf_dir).count() == 0
+        assert {"doc_id", "text", "lang", "source"} <= set(out.columns)
+        assert len(found) == len(rows) or name in ("quality classifier", "MinHash near-dedup")

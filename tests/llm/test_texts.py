@@ -94,7 +94,11 @@ def test_unigram_ties_go_to_the_longest(spark):
     assert sorted(r.n_tokens for r in token_counts(df, vocabulary, "ties").collect()) == [0, 2]
 
 
-def hits(docs, items):
+#: A word before A-Z are folded.
+WORD_OF = WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+
+
+def hits(docs, items, places=False):
     low = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
     words = lambda x: re.findall(WORD, (x or "").translate(low))
     windows: dict[tuple, set] = {}
@@ -112,7 +116,7 @@ def hits(docs, items):
                 if (k := tuple(w[j : j + n])) in windows:
                     hit.update(range(j, j + n))
                     found |= windows[k]
-        out[i] = (len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w))
+        out[i] = (len(w), hit) if places else (len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w))
     return out
 
 
