@@ -9,8 +9,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _own_dir() -> str:
-    """A folder that goes when this process ends."""
+def _own_dir(spark: SparkSession) -> str:
+    """A folder that goes when this process ends; only for one machine, as executors elsewhere would not see it."""
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     at = tempfile.mkdtemp(prefix="tessera-")
     atexit.register(shutil.rmtree, at, True)
     return at
@@ -20,7 +22,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """``spark.checkpoint.dir`` of the session counts; only where it is unset (tests) a temporary folder is taken."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or f"file://{_own_dir()}")
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or f"file://{_own_dir(spark)}")
 
 
 def kept(df: DataFrame, name: str = "") -> DataFrame:
