@@ -93,9 +93,18 @@ def octave_reseat(pitch_class: Column, target: Column) -> Column:
     return F.array_min(F.transform(F.array(base - 12, base, base + 12), lambda p: F.struct(F.abs(p - target).alias("d"), p.alias("p"))))["p"]
 
 
-def drum_score(centroid: Column, low: Column, high: Column, decay: Column, attack: Column, crest: Column) -> Column:
-    """Nearness to the profile's band times envelope factors; an unknown centroid counts 0.5; 4 decimals."""
-    near = F.when(centroid.isNull() | F.isnan(centroid) | (centroid <= 0), F.lit(0.5)).otherwise(F.exp(-F.pow((F.ln(centroid) - F.ln(F.sqrt(low * high))) / 0.9, F.lit(2))))
+def band_nearness(centroid: Column, low: Column, high: Column) -> Column:
+    """A bell over the logarithm of the centroid around the band's middle: 0 at 0 Hz, no number below, null for null."""
+    bell = F.exp(-F.pow((F.ln(centroid) - F.ln(F.sqrt(low * high))) / 0.9, F.lit(2)))
+    return F.when(centroid == 0, 0.0).when(centroid < 0, float("nan")).otherwise(bell)  # ln is null there in Spark
+
+
+def drum_score(centroid: Column, low: Column, high: Column, decay: Column, attack: Column, crest: Column, unknown: float | None = 0.5) -> Column:
+    """Nearness to the profile's band times envelope factors; 4 decimals. An unknown centroid (null, no number, not above
+    0) counts ``unknown``; with None it counts what ``band_nearness`` gives."""
+    near = band_nearness(centroid, low, high)
+    if unknown is not None:
+        near = F.when(centroid.isNull() | F.isnan(centroid) | (centroid <= 0), F.lit(unknown)).otherwise(near)
     return F.bround(near * (0.4 + 0.6 * decay) * (0.4 + 0.6 * attack) * (0.5 + 0.5 * F.least(F.lit(1.0), crest / 12)), 4)
 
 

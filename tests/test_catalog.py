@@ -38,6 +38,18 @@ def test_query(spark, sf_dir, db, name):
     assert got == sorted(tuple(plain(r[names.index(c)]) for c in columns) for r in want.fetchall())
 
 
+def test_scores_of_odd_values(spark, tmp_path):
+    """Values that no band is near to, which the smallest scale lacks: zero first, of which the larger tables have some."""
+    values = [0.0, -0.0, None, float("nan"), float("inf"), float("-inf"), -5.0, 5e-324, 1e300, 137.0, 250.0]
+    rows = [(i * 20 + k, v) for i, v in enumerate(values) for k in range(20)]
+    spark.createDataFrame(rows, "event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = [tuple(map(str, r)) for r in catalog.QUERIES["candidate_scores"](spark, str(tmp_path)).orderBy("event_id").collect()]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = [tuple(map(str, r)) for r in con.sql(f"SELECT * FROM ({catalog.ORACLE_SQL['candidate_scores']}) ORDER BY event_id").fetchall()]
+    assert len(got) == len(rows) and got == want
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as entry
 

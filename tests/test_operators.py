@@ -229,6 +229,15 @@ def test_drum_checks_leave_effects_and_unknown_centroids(spark):
     assert [r.r for r in got] == [None, None, None, "off_band", "slow_attack", "off_band"]
 
 
+def test_drum_score_of_unknown_centroids(spark):
+    """A gate counts an unknown centroid 0.5; the bare formula has 0 at 0 Hz and no number below."""
+    df = spark.createDataFrame([(0, 0.0), (1, None), (2, float("nan")), (3, -1.0), (4, 120.0)], "i int, centroid double")
+    args = (F.col("centroid"), F.lit(80.0), F.lit(180.0), F.lit(1.0), F.lit(1.0), F.lit(12.0))
+    rows = df.select(scalars.drum_score(*args).alias("gate"), scalars.drum_score(*args, unknown=None).alias("bare")).orderBy("i").collect()
+    assert [r.gate for r in rows] == [0.5, 0.5, 0.5, 0.5, 1.0]
+    assert [str(r.bare) for r in rows] == ["0.0", "None", "nan", "nan", "1.0"]
+
+
 def test_prefilters_in_order(spark):
     from pyspark.sql import functions as F
 
